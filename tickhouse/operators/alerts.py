@@ -18,7 +18,7 @@ def all_alerts(*sources: DataFrame) -> DataFrame:
 def newest_alerts(alerts: DataFrame, limit: int = 20) -> DataFrame:
     """Newest first by second; within a second the entry read first comes first."""
     newest = Window.partitionBy("pipeline_id").orderBy(
-        F.date_trunc("second", "at").desc(), F.col("seq")
+        F.date_trunc("second", "at").desc(), F.col("seq"), F.col("component")
     )
     return alerts.withColumn("alert_rank", F.row_number().over(newest)).filter(
         F.col("alert_rank") <= limit

@@ -150,7 +150,8 @@ def log_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 3).alias("delivery_failures"), (k % 2).alias("errors"),
         micros_text(F.col("ts")).alias("last_message_ts"),
     ))))
-    fields = F.struct(message.alias("message"), snapshot.alias("snapshot"))
+    fields = F.struct(message.alias("message"), snapshot.alias("snapshot"),
+                      F.when(kind == "click", F.lit(600).cast("long")).alias("idle_secs"))
     return source.select(
         pipeline_name(F.col("user_id")).alias("pipeline_id"),
         F.col("event_id").alias("seq"),
@@ -244,7 +245,7 @@ VIEWS = {
         SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
                'pl' || CAST(user_id % 3 AS VARCHAR) AS pipeline_id FROM events""",
     "health": """
-        SELECT event_id AS seq, ts AS at, pipeline_id, 'p' || CAST(user_id % 5 AS VARCHAR) AS process_id,
+        SELECT event_id AS seq, ts AS seen, pipeline_id, 'p' || CAST(user_id % 5 AS VARCHAR) AS process_id,
                CASE event_type WHEN 'click' THEN 'commit_started' WHEN 'purchase' THEN 'commit_succeeded'
                     WHEN 'error' THEN ['data_file_write_failed', 'iceberg_commit_failed',
                       'iceberg_commit_state_unknown', 'offset_commit_failed', 'loader_failed'][1 + event_id % 5]
@@ -252,7 +253,7 @@ VIEWS = {
                k, CAST(round(value * 100) AS BIGINT) AS duration_ms
         FROM ev""",
     "logs": """
-        SELECT pipeline_id, event_id AS seq, ts AS at, event_type, k,
+        SELECT pipeline_id, event_id AS seq, ts AS seen, event_type, k,
                CASE event_type WHEN 'view' THEN 'metrics' WHEN 'signup' THEN 'final metrics'
                     WHEN 'click' THEN 'no bar data within idle window; shutting down producer'
                     WHEN 'error' THEN ['delivery failed', 'Authentication rejected', 'commit lost',
@@ -262,7 +263,7 @@ VIEWS = {
                event_type IN ('view', 'signup') AND event_id % 10 <> 0 AS has_snapshot
         FROM ev""",
     "samples": """
-        SELECT pipeline_id AS topic, at, seq, k % 2 AS part_id,
+        SELECT pipeline_id AS topic, seen, seq, k % 2 AS part_id,
                greatest(seq * 2 - (k % 4) * 40, 0) AS committed_offset, seq * 2 AS end_offset,
                k % 17 = 0 AS committing, k % 5 AS buffered_bars, k % 50 AS buffered_sources
         FROM health WHERE event = 'heartbeat'""",
@@ -288,12 +289,14 @@ NEEDS = {
 }
 
 
-def sql(body: str, *views: str) -> str:
-    """``body`` behind the WITH clause of the views it uses."""
+def sql(body: str, *views: str, more: str = "") -> str:
+    """``body`` behind the WITH clause of the views it uses and ``more`` named queries."""
     wanted: list[str] = []
     for view in views:
         for name in [*NEEDS.get(view, []), view]:
             if name not in wanted:
                 wanted.append(name)
-    clauses = ",\n".join(f"{name} AS ({VIEWS[name]})" for name in wanted)
-    return f"WITH {clauses}\n{body}" if wanted else body
+    clauses = [f"{name} AS ({VIEWS[name]})" for name in wanted]
+    if more:
+        clauses.append(more.strip())
+    return f"WITH {', '.join(clauses)}\n{body}" if clauses else body
