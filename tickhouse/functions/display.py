@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 BYTE_UNITS = ("B", "KiB", "MiB", "GiB", "TiB")
 MISSING = "—"
+NO_BREAK = "\u00a0"
 CURRENCY_SYMBOLS = {"USD": "$", "EUR": "€", "GBP": "£", "JPY": "¥", "INR": "₹"}
 
 
@@ -37,7 +38,7 @@ def money_text(value: Column, currency: Column) -> Column:
     symbols = F.create_map(*[F.lit(x) for pair in CURRENCY_SYMBOLS.items() for x in pair])
     sign = F.when(value < 0, "-").otherwise("")
     amount = F.format_string("%,.2f", F.abs(value))
-    prefix = F.coalesce(F.try_element_at(symbols, currency), F.concat(currency, F.lit(" ")))
+    prefix = F.coalesce(F.try_element_at(symbols, currency), F.concat(currency, F.lit(NO_BREAK)))
     shown = F.when(currency.rlike("^[A-Z]{3}$"), F.concat(sign, prefix, amount)).otherwise(
         F.concat(F.format_string("%.2f", value), F.lit(" "), currency)
     )

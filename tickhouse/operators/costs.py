@@ -49,9 +49,16 @@ def net_cost(cost: Column, credits: Column) -> Column:
 
 
 def lines_in_lookback(lines: DataFrame, day: Column, project: str | None = None) -> DataFrame:
-    """Lines the snapshot needs. The bound is on the stored timestamp, so the scan can prune."""
-    start = lookback_start(day).cast(lines.schema["usage_start_time"].dataType)
-    kept = lines.filter(F.col("usage_start_time") >= start)
+    """Lines the snapshot needs: from the look-back bound through ``day`` itself.
+
+    Both bounds are on the stored timestamp, so the scan can prune. The upper one changes nothing
+    for today and keeps a snapshot of a past day from counting later usage.
+    """
+    kind = lines.schema["usage_start_time"].dataType
+    used = F.col("usage_start_time")
+    kept = lines.filter(used >= lookback_start(day).cast(kind)).filter(
+        used < F.date_add(day, 1).cast(kind)
+    )
     if project is not None:
         kept = kept.filter(F.col("project_id") == project)
     return kept.withColumn("usage_day", F.to_date("usage_start_time")).withColumn(
