@@ -44,7 +44,7 @@ def producer_fault(symbol: Column, ts: Column, volume: Column) -> Column:
 
 def symbol_list(text: Column) -> Column:
     """Comma list to trimmed, non-empty names."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda name: name != "")
+    return F.filter(F.transform(F.split(text, ","), lambda name: F.trim(name)), lambda name: name != "")
 
 
 def subscribed(symbol: Column, subscription: str) -> Column:
