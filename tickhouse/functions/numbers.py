@@ -18,11 +18,8 @@ def count_value(text: Column) -> Column:
 
 def whole_number(text: Column) -> Column:
     """Bigint from a number text without a fractional part (``5`` or ``5.0``), else null."""
-    exact = text.try_cast("decimal(38,9)")
-    return F.coalesce(
-        text.try_cast("long"),
-        F.when(exact == F.floor(exact), exact.cast("decimal(38,0)").try_cast("long")),
-    )
+    plain = F.regexp_replace(text, r"\.0+$", "")
+    return F.coalesce(text.try_cast("long"), plain.try_cast("long"))
 
 
 def money(text: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.functions.bars import payload_hash
+from tickhouse.functions.lets import once
 from tickhouse.functions.numbers import whole_number
 from tickhouse.functions.times import strict_instant
 from tickhouse.schemas import BAR_COLUMNS, TEXT_BARS, WIRE_BARS
@@ -41,6 +42,16 @@ def bar_fault(bar: Column) -> Column:
     )
 
 
+def _verdict(bars: Column) -> Column:
+    faults = F.transform(bars, bar_fault)
+    first = F.get(F.filter(faults, lambda fault: fault.isNotNull()), F.lit(0))
+    return F.struct(
+        bars.alias("bars"),
+        faults.alias("bar_faults"),
+        F.when(bars.isNull(), "not_an_array").otherwise(first).alias("reject_reason"),
+    )
+
+
 def decode(frames: DataFrame) -> DataFrame:
     """Add ``bars`` (typed array, order kept), ``bar_faults`` and ``reject_reason`` to each frame.
 
@@ -51,16 +62,16 @@ def decode(frames: DataFrame) -> DataFrame:
     parsed = F.when(
         F.col("raw").rlike(r"^\s*\["), F.from_json("raw", WIRE_BARS).cast(TEXT_BARS)
     )
-    typed = frames.withColumn("bars", F.transform(parsed, _typed))
-    faults = typed.withColumn("bar_faults", F.transform("bars", bar_fault))
-    first_fault = F.get(F.filter("bar_faults", lambda fault: fault.isNotNull()), F.lit(0))
-    return faults.withColumn(
-        "reject_reason", F.when(F.col("bars").isNull(), "not_an_array").otherwise(first_fault)
-    )
+    decoded = once(F.transform(parsed, _typed), _verdict)
+    return frames.withColumn("_d", decoded).select(*frames.columns, "_d.*")
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.col("reject_reason").isNull()).drop("reject_reason", "bar_faults")
+    """Frames that passed. ``inline`` instead of a filter: a filter on the reason would be pushed
+    below the projection and parse every frame a second time."""
+    others = [c for c in decoded.columns if c not in ("bars", "bar_faults", "reject_reason")]
+    passed = F.when(F.col("reject_reason").isNull(), F.array(F.struct("bars")))
+    return decoded.select(*others, F.inline(passed))
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:

@@ -176,6 +176,25 @@ def latest_signals(events: DataFrame) -> DataFrame:
     )
 
 
+def _last_commit(success: Column, current: Column) -> Column:
+    """The newest success's own commit time, else what the current signal reports."""
+    return F.coalesce(
+        F.nullif(success["last_commit_at_utc"], F.lit("")), current["last_commit_at_utc"]
+    )
+
+
+def last_commits(events: DataFrame) -> DataFrame:
+    """``pipeline_id, last_commit_at`` (to the second), for resolving alerts."""
+    needed = events.select(
+        "pipeline_id", "process_id", "at", "seq", "event", "last_commit_at_utc"
+    )
+    current = F.coalesce("latest_heartbeat", "latest_event")
+    text = _last_commit(F.col("latest_success"), current)
+    return latest_signals(needed).select(
+        "pipeline_id", F.date_trunc("second", lenient_instant(text)).alias("last_commit_at")
+    )
+
+
 def loader_summary(
     events: DataFrame, limits: Thresholds = Thresholds(), small_groups: bool = False
 ) -> DataFrame:
@@ -184,9 +203,6 @@ def loader_summary(
         "current", F.coalesce("latest_heartbeat", "latest_event")
     )
     current, success = F.col("current"), F.col("latest_success")
-    last_commit = F.coalesce(
-        F.nullif(success["last_commit_at_utc"], F.lit("")), current["last_commit_at_utc"]
-    )
     section = signals.select(
         "pipeline_id",
         F.lit("observed").alias("status"),
@@ -194,7 +210,7 @@ def loader_summary(
         seconds_text(F.col("latest_heartbeat.at")).alias("latest_heartbeat_utc"),
         lenient_text(current["process_id"]).alias("process_started_at_utc"),
         lenient_text(current["last_input_at_utc"]).alias("last_input_utc"),
-        lenient_text(last_commit).alias("last_commit_utc"),
+        lenient_text(_last_commit(success, current)).alias("last_commit_utc"),
         F.coalesce(
             success["durable_commit_total_duration_ms"], current["last_commit_duration_ms"]
         ).alias("last_commit_duration_ms"),
@@ -341,9 +357,3 @@ def heartbeat_samples(events: DataFrame) -> DataFrame:
         F.coalesce("buffered_bars", F.lit(0)).alias("buffered_bars"),
         F.coalesce("buffered_source_records", F.lit(0)).alias("buffered_source_records"),
     )
-
-
-def last_commit_at(summary: DataFrame) -> DataFrame:
-    return summary.select(
-        "pipeline_id", lenient_instant(F.col("last_commit_utc")).alias("last_commit_at")
-    )

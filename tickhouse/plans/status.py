@@ -26,53 +26,58 @@ from tickhouse.settings import LogNames, Thresholds
 SCHEMA_VERSION = 3
 
 
-def roll_up(
-    state: Column,
-    now: Column,
-    extractor: Column,
-    loader: Column,
-    open_error: Column,
-    limits: Thresholds = Thresholds(),
-) -> Column:
-    """struct(status, reasons): the checks apply in order, later ones may overwrite the status.
+def with_health(rows: DataFrame, now: Column, limits: Thresholds = Thresholds()) -> DataFrame:
+    """Add ``health`` struct(status, reasons) to rows with ``state, extractor, loader, open_error``.
 
-    ``extractor`` and ``loader`` are the section structs; text times are parsed leniently.
+    The checks apply in order and later ones may overwrite the status. Each step is its own
+    projection, so no text is parsed and no grade computed more than once.
     """
+    state, extractor, loader = F.col("state"), F.col("extractor"), F.col("loader")
     is_open = state == "market_open"
-    bar_status, bar_reason = freshness(
-        "extractor_bar", F.lit("healthy"), lenient_instant(extractor["last_bar_utc"]), now,
-        limits.bar_warning, limits.bar_unhealthy,
-    )
-    commit_status, commit_reason = freshness(
-        "loader_commit", bar_status, lenient_instant(loader["last_commit_utc"]), now,
-        limits.commit_warning, limits.commit_unhealthy,
+    steps = rows.withColumns({
+        "_bar_at": lenient_instant(extractor["last_bar_utc"]),
+        "_commit_at": lenient_instant(loader["last_commit_utc"]),
+        "_beat_at": lenient_instant(loader["latest_heartbeat_utc"]),
+        "_awaiting": (state == "settling") & extractor["final_metrics_at_utc"].isNull(),
+        "_silent": state.isin("closed", "weekend", "pre_open") & (
+            F.coalesce(extractor["status"], F.lit("no_recent_session")) == "no_recent_session"
+        ),
+        "_stalled": F.coalesce(loader["state"] == "stalled", F.lit(False)),
+    })
+    status, reason = freshness(
+        "extractor_bar", F.lit("healthy"), F.col("_bar_at"), now, limits.bar_warning,
+        limits.bar_unhealthy,
     )
-    awaiting = (state == "settling") & extractor["final_metrics_at_utc"].isNull()
-    silent = state.isin("closed", "weekend", "pre_open") & (
-        F.coalesce(extractor["status"], F.lit("no_recent_session")) == "no_recent_session"
+    steps = steps.withColumns({"_bar_status": status, "_bar_reason": F.when(is_open, reason)})
+    status, reason = freshness(
+        "loader_commit", F.col("_bar_status"), F.col("_commit_at"), now, limits.commit_warning,
+        limits.commit_unhealthy,
     )
     session = (
-        F.when(is_open, commit_status)
-        .when(awaiting, "warning")
-        .when(silent, "unknown")
+        F.when(is_open, status)
+        .when(F.col("_awaiting"), "warning")
+        .when(F.col("_silent"), "unknown")
         .otherwise("healthy")
     )
-    beat_status, beat_reason = freshness(
-        "loader_heartbeat", session, lenient_instant(loader["latest_heartbeat_utc"]), now,
-        limits.heartbeat_warning, limits.heartbeat_unhealthy,
+    steps = steps.withColumns({"_session": session, "_commit_reason": F.when(is_open, reason)})
+    status, reason = freshness(
+        "loader_heartbeat", F.col("_session"), F.col("_beat_at"), now, limits.heartbeat_warning,
+        limits.heartbeat_unhealthy,
     )
-    stalled = F.coalesce(loader["state"] == "stalled", F.lit(False))
+    forced = F.col("_stalled") | F.col("open_error")
     reasons = F.array_compact(F.array(
-        F.when(is_open, bar_reason),
-        F.when(is_open, commit_reason),
-        F.when(awaiting, "awaiting_clean_shutdown"),
-        F.when(silent, "no_recent_session"),
-        beat_reason,
-        F.when(stalled, "loader_stalled"),
-        F.when(open_error, "recent_error"),
+        F.col("_bar_reason"),
+        F.col("_commit_reason"),
+        F.when(F.col("_awaiting"), "awaiting_clean_shutdown"),
+        F.when(F.col("_silent"), "no_recent_session"),
+        reason,
+        F.when(F.col("_stalled"), "loader_stalled"),
+        F.when(F.col("open_error"), "recent_error"),
     ))
-    status = F.when(stalled | open_error, "unhealthy").otherwise(beat_status)
-    return F.struct(status.alias("status"), reasons.alias("reasons"))
+    health = F.struct(
+        F.when(forced, "unhealthy").otherwise(status).alias("status"), reasons.alias("reasons")
+    )
+    return steps.select(*rows.columns, health.alias("health"))
 
 
 def _struct(df: DataFrame, name: str) -> DataFrame:
@@ -136,16 +141,15 @@ def status_documents(
         loader_error.isNotNull() & (last_commit.isNull() | (loader_error > last_commit)),
         F.lit(False),
     )
-    state = market_state(at_now)
-    report = joined.select(
+    joined = joined.withColumns({"state": market_state(at_now), "open_error": open_error})
+    report = with_health(joined, at_now, limits).select(
         "pipeline_id",
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         seconds_text(at_now).alias("generated_at_utc"),
         F.struct(
-            state.alias("state"),
-            seconds_text(next_open(at_now)).alias("next_expected_open_utc"),
+            "state", seconds_text(next_open(at_now)).alias("next_expected_open_utc")
         ).alias("market"),
-        roll_up(state, at_now, F.col("extractor"), F.col("loader"), open_error, limits).alias("health"),
+        "health",
         "extractor",
         "loader",
         F.coalesce("alerts", F.array()).alias("alerts"),

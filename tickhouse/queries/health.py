@@ -12,7 +12,7 @@ from tickhouse.functions.numbers import queue_depth
 from tickhouse.functions.times import lenient_instant, millis_or_never, seconds_text
 from tickhouse.operators import alerts as alerting
 from tickhouse.operators import extractor, journal, loader
-from tickhouse.plans.status import roll_up
+from tickhouse.plans.status import with_health
 from tickhouse.queries import inputs
 from tickhouse.queries.inputs import sql
 from tickhouse.queries.registry import query
@@ -504,8 +504,8 @@ ALERT_UNION = f"({EXTRACTOR_ALERT_SQL} UNION ALL BY NAME {LOADER_ALERT_SQL})"
     more="lc AS (SELECT pipeline_id, max(seen) AS lc FROM health WHERE event = 'commit_succeeded' GROUP BY 1)"))
 def unresolved(spark, sf_dir):
     """ERROR alerts no later commit has resolved."""
-    summary = loader.loader_summary(inputs.health_rows(spark, sf_dir))
-    return alerting.unresolved(_alerts(spark, sf_dir), loader.last_commit_at(summary)).select(
+    commits = loader.last_commits(inputs.health_rows(spark, sf_dir))
+    return alerting.unresolved(_alerts(spark, sf_dir), commits).select(
         "pipeline_id", "seq", "component", "code"
     )
 
@@ -564,10 +564,12 @@ def health_roll_up(spark, sf_dir):
         ago(k % 20, 11).alias("last_commit_utc"), ago(k % 12, 13).alias("latest_heartbeat_utc"),
         F.when(k % 23 == 0, "stalled").otherwise("idle").alias("state"),
     )
-    health = roll_up(market_state(now), now, F.col("ex"), F.col("ld"), k % 29 == 0)
-    rows = inputs.events(spark, sf_dir).select("event_id", "k", "ts", ex.alias("ex"), ld.alias("ld"))
-    return rows.select("event_id", health.alias("h")).select(
-        "event_id", "h.status", F.concat_ws(",", "h.reasons").alias("reasons")
+    rows = inputs.events(spark, sf_dir).select(
+        "event_id", "ts", ex.alias("extractor"), ld.alias("loader"),
+        market_state(now).alias("state"), (k % 29 == 0).alias("open_error"),
+    )
+    return with_health(rows, now).select(
+        "event_id", "health.status", F.concat_ws(",", "health.reasons").alias("reasons")
     )
 
 
