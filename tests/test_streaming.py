@@ -120,8 +120,9 @@ def test_streaming_dedup(spark, tmp_path):
     for part in (rows[:2], rows[2:]):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    got = collect_stream(spark, views.stream_deduplicated(stream), "dedup")
-    assert sorted(r["payload_hash"] for r in got) == ["h1", "h2", "h3"]
+    for salts in (1, 4):
+        got = collect_stream(spark, views.stream_deduplicated(stream, salts=salts), f"dedup{salts}")
+        assert sorted(r["payload_hash"] for r in got) == ["h1", "h2", "h3"]
 
 
 def test_streaming_sessions_and_counters(spark, tmp_path):

@@ -137,6 +137,21 @@ def test_compaction_keeps_rows_and_reduces_files(spark, table, tmp_path):
         compaction.compact_parquet(spark, table, 2, receipt_path, "run-4", target_bytes=1024)
 
 
+def test_partitioned_compaction_splits_large_days_and_merges_small_ones(spark, tmp_path):
+    root = str(tmp_path / "days")
+    rows = spark.range(6000).select(
+        "id", F.when(F.col("id") % 3 == 0, "2026-01-01").otherwise(
+            F.concat(F.lit("2026-01-1"), (F.col("id") % 5).cast("string"))).alias("event_date"))
+    rows.repartition(8).write.partitionBy("event_date").parquet(compaction.generation_path(root, 1))
+    compaction.publish(spark, root, 1, "load", compaction.parquet_metrics(spark, root, 1), lambda: NOW)
+    before = compaction.read_current(spark, root)
+    receipt = compaction.compact_parquet(
+        spark, root, 1, str(tmp_path / "r.json"), "run", partition_by=["event_date"], order=["id"])
+    assert receipt["pre"]["data_file_count"] == 48 and receipt["post"]["data_file_count"] == 6
+    after = compaction.read_current(spark, root)
+    assert before.exceptAll(after).count() == 0 and after.count() == 6000
+
+
 def test_each_broken_promise_is_its_own_error():
     before = compaction.Metrics("1", 10, 5)
     for after, failed, text in [

@@ -11,6 +11,10 @@ NO_BREAK = "\u00a0"
 CURRENCY_SYMBOLS = {"USD": "$", "EUR": "€", "GBP": "£", "JPY": "¥", "INR": "₹"}
 
 
+def _shown(known: Column, text: Column) -> Column:
+    return F.when(known, text).otherwise(MISSING)
+
+
 def bytes_text(value: Column) -> Column:
     """Binary-unit size: whole numbers for bytes and from ten up, else one decimal."""
     text = F.lit(None).cast("string")
@@ -21,16 +25,14 @@ def bytes_text(value: Column) -> Column:
             F.format_string(f"%.1f {unit}", size)
         )
         text = shown if step == 0 else F.when(value >= 1024**step, shown).otherwise(text)
-    return F.coalesce(text, F.lit(MISSING))
+    return _shown(value.isNotNull(), text)
 
 
 def duration_text(ms: Column) -> Column:
-    return F.coalesce(
-        F.when(ms < 1000, F.concat(F.format_number(ms, 0), F.lit(" ms"))).otherwise(
-            F.format_string("%.1f s", ms / F.lit(1000.0))
-        ),
-        F.lit(MISSING),
+    text = F.when(ms < 1000, F.concat(F.format_number(ms, 0), F.lit(" ms"))).otherwise(
+        F.format_string("%.1f s", ms / F.lit(1000.0))
     )
+    return _shown(ms.isNotNull(), text)
 
 
 def money_text(value: Column, currency: Column) -> Column:
@@ -42,7 +44,7 @@ def money_text(value: Column, currency: Column) -> Column:
     shown = F.when(currency.rlike("^[A-Z]{3}$"), F.concat(sign, prefix, amount)).otherwise(
         F.concat(F.format_string("%.2f", value), F.lit(" "), currency)
     )
-    return F.coalesce(shown, F.lit(MISSING))
+    return _shown(value.isNotNull() & currency.isNotNull(), shown)
 
 
 def title_text(code: Column) -> Column:

@@ -11,6 +11,10 @@ ISO_LENIENT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d
 EPOCH_SECONDS = r"^-?\d+(\.\d+)?$"
 DIGITS = r"^[0-9]+$"
 
+# Seconds of the years 1 to 9999.
+FIRST_SECOND = -62_135_596_800
+LAST_SECOND = 253_402_300_799
+
 SECONDS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 MICROS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -44,9 +48,9 @@ def lenient_text(text: Column, fallback: Column | None = None) -> Column:
 
 def epoch_or_iso_text(text: Column) -> Column:
     """Second text from Unix seconds or ISO text."""
-    from_epoch = F.timestamp_micros(
-        F.floor(text.try_cast("decimal(38,6)") * 1_000_000).cast("long")
-    )
+    seconds = F.floor(text.try_cast("decimal(38,6)"))
+    in_range = seconds.between(FIRST_SECOND, LAST_SECOND)
+    from_epoch = F.timestamp_seconds(F.when(in_range, seconds).try_cast("long"))
     return seconds_text(
         F.when(text.rlike(EPOCH_SECONDS), from_epoch).otherwise(lenient_instant(text))
     )

@@ -1,8 +1,8 @@
 """Bounded commit batches over arrival-ordered frames.
 
-Everything is computed on frames, not bars: a frame knows where its first bar falls, hence which
-batches it touches. Offsets are unique within a partition, so a span of ``OFFSET_SPAN`` offsets
-bounds the rows any window task can see, however hot the partition is.
+Everything is computed on a narrow index of frames, not on bars: a frame knows where its first bar
+falls, hence which batches it touches. Offsets are unique within a partition, so a span of
+``OFFSET_SPAN`` offsets bounds the rows any window group can hold, however hot the partition is.
 """
 
 from __future__ import annotations
@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickhouse.session import checkpoint_dir
+
 SOURCE = ("topic", "part_id")
-OFFSET_SPAN = 1 << 20
+OFFSET_SPAN = 1 << 17
 
 
 def _checked(limit: int) -> int:
@@ -20,6 +22,18 @@ def _checked(limit: int) -> int:
     return limit
 
 
+def frame_index(decoded: DataFrame) -> DataFrame:
+    """Position and size of each accepted frame, checkpointed.
+
+    Placing frames reads the sizes twice; without the checkpoint each reading would parse the JSON
+    of every frame again. The index holds a few numbers per frame and none of its payload.
+    """
+    checkpoint_dir(decoded.sparkSession)
+    arrival = [c for c in ("received_at",) if c in decoded.columns]
+    size = F.when(F.col("reject_reason").isNull(), F.size("bars")).otherwise(0)
+    return decoded.select(*SOURCE, "src_offset", *arrival, size.alias("frame_size")).checkpoint()
+
+
 def place_frames(frames: DataFrame, span: int = OFFSET_SPAN) -> DataFrame:
     """Add ``first_bar``: how many bars of the partition arrived before the frame.
 

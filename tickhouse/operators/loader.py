@@ -143,36 +143,49 @@ def recent_array(commits: DataFrame, limit: int = 48) -> DataFrame:
 
 
 def failure_summary(events: DataFrame) -> DataFrame:
-    position = F.struct(*ORDER)
     failed = is_failure(F.col("event"))
-    return events.groupBy("pipeline_id").agg(
+    return _failure_columns(events.groupBy("pipeline_id").agg(
         F.count_if(failed).alias("failure_count"),
-        F.max(F.when(failed, F.col("at"))).alias("last_failure_at"),
-        failure_code(F.max_by("event", F.when(failed, position))).alias("last_failure_code"),
-    ).withColumn(
-        "failure_count_is_capped", F.col("failure_count") == LOG_LIMITS["loader_failures"]
-    )
+        F.max(F.when(failed, F.struct(*ORDER, "event"))).alias("last_failure"),
+    ))
+
+
+def _failure_columns(rows: DataFrame) -> DataFrame:
+    """Count, cap flag, time and code from ``failure_count`` and ``last_failure``."""
+    return rows.withColumns({
+        "failure_count_is_capped": F.col("failure_count") == LOG_LIMITS["loader_failures"],
+        "last_failure_at": F.col("last_failure.at"),
+        "last_failure_code": failure_code(F.col("last_failure.event")),
+    }).drop("last_failure")
 
 
 def latest_signals(events: DataFrame) -> DataFrame:
-    """Per pipeline: the newest event, the newest heartbeat of that event's process and the
-    newest success of any process. Aggregated per process first, so no join is needed."""
+    """Per pipeline: the newest event, the newest heartbeat of that event's process, the newest
+    success of any process and the failures, in one reading of the events.
+
+    Aggregated per process first, so no join is needed."""
     position = F.struct(*ORDER)
     row = F.struct(*[c for c in events.columns if c != "pipeline_id"])
     event = F.col("event")
-    beat, success = event == HEARTBEAT, event == COMMIT_SUCCEEDED
+    beat, success, failed = event == HEARTBEAT, event == COMMIT_SUCCEEDED, is_failure(event)
     per_process = events.groupBy("pipeline_id", "process_id").agg(
         F.max(position).alias("newest"),
         F.max_by(row, position).alias("latest_event"),
         F.max_by(row, F.when(beat, position)).alias("latest_heartbeat"),
         F.max(F.when(success, position)).alias("newest_success"),
         F.max_by(row, F.when(success, position)).alias("latest_success"),
+        F.count_if(failed).alias("failures"),
+        F.max(F.when(failed, F.struct(*ORDER, "event"))).alias("last_failure"),
     )
     chosen = F.max_by(F.struct("latest_event", "latest_heartbeat"), "newest")
     return per_process.groupBy("pipeline_id").agg(
-        chosen.alias("chosen"), F.max_by("latest_success", "newest_success").alias("latest_success")
+        chosen.alias("chosen"),
+        F.max_by("latest_success", "newest_success").alias("latest_success"),
+        F.sum("failures").alias("failure_count"),
+        F.max("last_failure").alias("last_failure"),
     ).select(
-        "pipeline_id", "chosen.latest_event", "chosen.latest_heartbeat", "latest_success"
+        "pipeline_id", "chosen.latest_event", "chosen.latest_heartbeat", "latest_success",
+        "failure_count", "last_failure",
     )
 
 
@@ -199,7 +212,7 @@ def loader_summary(
     events: DataFrame, limits: Thresholds = Thresholds(), small_groups: bool = False
 ) -> DataFrame:
     """The loader section, one row per pipeline that has any loader event."""
-    signals = latest_signals(events).withColumn(
+    signals = _failure_columns(latest_signals(events)).withColumn(
         "current", F.coalesce("latest_heartbeat", "latest_event")
     )
     current, success = F.col("current"), F.col("latest_success")
@@ -218,12 +231,13 @@ def loader_summary(
         current["buffered_bars"].alias("buffered_bars"),
         current["buffered_source_records"].alias("buffered_source_records"),
         current["partitions"].alias("partitions"),
+        "failure_count",
+        "failure_count_is_capped",
+        seconds_text(F.col("last_failure_at")).alias("last_failure_utc"),
+        "last_failure_code",
     )
-    failures = failure_summary(events).withColumn(
-        "last_failure_utc", seconds_text(F.col("last_failure_at"))
-    ).drop("last_failure_at")
     commits = recent_array(pair_commits(events, small_groups), limits.history_limit)
-    return section.join(failures, "pipeline_id", "left").join(commits, "pipeline_id", "left")
+    return section.join(commits, "pipeline_id", "left")
 
 
 # ---- offsets and stalls --------------------------------------------------------------------

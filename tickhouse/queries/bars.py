@@ -223,10 +223,10 @@ LIMIT = 100
     f"""SELECT part_id, src_offset, pos_in_frame AS pos, place // {LIMIT} AS batch_id, is_final FROM placed""", "placed"))
 def batch_ids(spark, sf_dir):
     """Batch of every decoded bar and whether it ends its frame."""
-    decoded = decode.accepted(decode.decode(inputs.raw_frames(spark, sf_dir)))
-    placed = batching.place_frames(decoded.withColumn("frame_size", F.size("bars")), span=64)
-    bars = decode.explode_bars(placed.drop("frame_size"))
-    return batching.assign_bars(bars, LIMIT).select(
+    decoded = decode.decode(inputs.raw_frames(spark, sf_dir))
+    placed = batching.place_frames(batching.frame_index(decoded), span=64).drop("frame_size")
+    frames = decode.accepted(decoded).join(placed, ["topic", "part_id", "src_offset"])
+    return batching.assign_bars(decode.explode_bars(frames), LIMIT).select(
         _long("part_id"), "src_offset", _long("pos"), "batch_id", "is_final"
     )
 
@@ -247,10 +247,8 @@ def batch_sizes(spark, sf_dir):
         FROM placed GROUP BY 1, 2""", "placed"))
 def committable_offsets(spark, sf_dir):
     """The offset each partition may commit after each batch, from the JSON frames (A2)."""
-    decoded = decode.accepted(decode.decode(inputs.raw_frames(spark, sf_dir)))
-    placed = batching.place_frames(
-        decoded.withColumn("frame_size", F.size("bars")).drop("bars", "raw")
-    )
+    decoded = decode.decode(inputs.raw_frames(spark, sf_dir))
+    placed = batching.place_frames(batching.frame_index(decoded))
     return batching.batch_summary(placed, LIMIT).select(_long("part_id"), "batch_id", "commit_offset")
 
 

@@ -101,7 +101,7 @@ def describe_namespace(spark: SparkSession, catalog: str, namespace: str) -> Dat
     """Tables of a namespace; an absent namespace is reported as such."""
     qualified = qualified_table(catalog, namespace, "t").rsplit(".", 1)[0]
     try:
-        return spark.sql(f"SHOW TABLES IN {qualified}")
+        return spark.sql(f"SHOW TABLES IN {qualified}").filter("NOT isTemporary")
     except AnalysisException as error:
         raise LookupError(
             f"namespace {qualified} is absent: ingest bars or create the table first"
