@@ -224,3 +224,53 @@ def test_arguments(spark, tmp_path):
         exactly_one(1, 2, "one only")
     with pytest.raises(ValueError):
         write_receipt(spark, str(tmp_path / "receipt.txt"), {})
+
+
+class FakeIceberg:
+    """Snapshot and file tables from memory, procedures that record their call."""
+
+    def __init__(self, spark, states, rewritten):
+        self.spark, self.states, self.rewritten, self.calls, self.step = spark, states, rewritten, [], 0
+
+    def table(self, name):
+        snapshot, records, files = self.states[self.step]
+        if name.endswith(".snapshots"):
+            schema = "snapshot_id long, committed_at timestamp, summary map<string,string>"
+            rows = [(1, NOW - timedelta(days=1), {"total-records": "1"}), (snapshot, NOW, {"total-records": records})]
+            return self.spark.createDataFrame(rows, schema)
+        return self.spark.range(files)
+
+    def sql(self, text):
+        self.calls.append(text)
+        if "rewrite_data_files" in text:
+            self.step = 1
+            return self.spark.createDataFrame([self.rewritten], "rewritten_data_files_count int, failed_data_files_count int")
+        return self.spark.range(1)
+
+    def createDataFrame(self, *arguments):
+        return self.spark.createDataFrame(*arguments)
+
+    @property
+    def read(self):
+        return self.spark.read
+
+
+def test_iceberg_compaction_calls_and_receipt(spark, tmp_path):
+    fake = FakeIceberg(spark, [(123, "42", 3), (124, "42", 1)], (3, 0))
+    path = str(tmp_path / "receipt.json")
+    receipt = compaction.compact_iceberg(fake, "hadoop", "market", "bars", "123", path, "run", clock=lambda: NOW)
+    assert receipt["pre"] == {"snapshot_id": "123", "total_records": 42, "data_file_count": 3,
+                              "committed_at_utc": "2026-09-01T00:00:00Z"}
+    assert receipt["rewrite_data_files"]["rewritten_data_files_count"] == 3
+    assert "target-file-size-bytes', '134217728'" in fake.calls[0] and "rewrite_manifests" in fake.calls[1]
+    assert read_receipt(spark, path) == receipt
+    moved = FakeIceberg(spark, [(125, "42", 3)], (0, 0))
+    with pytest.raises(RuntimeError, match="expected 123, found 125"):
+        compaction.compact_iceberg(moved, "hadoop", "market", "bars", "123", path, "run")
+    assert moved.calls == []
+    failed = FakeIceberg(spark, [(123, "42", 3), (124, "42", 1)], (3, 2))
+    with pytest.raises(RuntimeError, match="2 failed"):
+        compaction.compact_iceberg(failed, "hadoop", "market", "bars", "123", path, "run")
+    silent = FakeIceberg(spark, [(123, None, 3)], (0, 0))
+    with pytest.raises(RuntimeError, match="total-records"):
+        compaction.compact_iceberg(silent, "hadoop", "market", "bars", "123", path, "run")

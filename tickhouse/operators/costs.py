@@ -138,7 +138,10 @@ def cost_snapshot(lines: DataFrame, as_of: Column, project: str | None = None) -
     top = ranked.agg(
         F.array_sort(F.collect_list(F.when(is_service & counted, service_item))).alias("_services")
     )
-    return totals.crossJoin(top).select(
+    # Two one-row aggregates side by side: each column has a value in at most one of the rows.
+    both = totals.unionByName(top, allowMissingColumns=True)
+    one = both.agg(*[F.first(name, ignorenulls=True).alias(name) for name in both.columns])
+    return one.select(
         as_of.alias("aggregated_at"),
         "source_exported_at",
         "currency",

@@ -325,7 +325,7 @@ def recent_commits(spark, sf_dir):
 
 
 @query("loader_a6_failures", sql(
-    f"""SELECT pipeline_id, count_if(event IN ({FAILURES})) AS failure_count, count_if(event IN ({FAILURES})) = 20 AS failure_count_is_capped,
+    f"""SELECT pipeline_id, CAST(count_if(event IN ({FAILURES})) AS BIGINT) AS failure_count, count_if(event IN ({FAILURES})) = 20 AS failure_count_is_capped,
           max(seen) FILTER (WHERE event IN ({FAILURES})) AS last_failure_at,
           'loader_' || replace(arg_max(event, (seen, seq)) FILTER (WHERE event IN ({FAILURES})), 'loader_', '') AS last_failure_code
         FROM health GROUP BY 1""", "health"))

@@ -267,7 +267,7 @@ TARGET = 100_000
 
 @query("tables_m7_file_report", sql(
     f"""SELECT table_id, count(*) AS data_files, CAST(sum(file_size) AS BIGINT) AS total_bytes, CAST(sum(record_count) AS BIGINT) AS total_records,
-          count_if(file_size < {TARGET}) AS small_files, round(sum(record_count) / count(*), 2) AS average_rows_per_data_file,
+          CAST(count_if(file_size < {TARGET}) AS BIGINT) AS small_files, round(sum(record_count) / count(*), 2) AS average_rows_per_data_file,
           round(sum(file_size) / count(*), 2) AS average_data_file_size_bytes FROM files GROUP BY 1""", "files"))
 def file_report(spark, sf_dir):
     """Small-file report per table."""

@@ -134,15 +134,18 @@ class BatchWriter:
             "duration_ms": int((finished - started).total_seconds() * 1000),
             **{k: counts.get(k) for k in ("bars", "source_records", "quarantined_frames", "inserted")},
         }
-        values = [tuple(row[field] for field in LEDGER.names)]
+        # Literals over a one-row range: no Python worker is started for a ledger row.
+        values = [
+            F.lit(row[field.name]).cast(field.dataType).alias(field.name)
+            for field in LEDGER.fields
+            if field.name not in ("query_id", "batch_id")
+        ]
         # Failures keep a step each, so a later success of the same batch does not hide them.
         step = {COMMIT_STARTED: "started", COMMIT_SUCCEEDED: "finished"}.get(
             event, f"failed-{started:%Y%m%dT%H%M%S%f}"
         )
         path = f"{self.folder(self.paths.ledger, batch_id)}/step={step}"
-        spark.createDataFrame(values, LEDGER).drop("query_id", "batch_id").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(path)
+        spark.range(1, numPartitions=1).select(*values).write.mode("overwrite").parquet(path)
 
 
 def start_ingest(frames: DataFrame, writer: BatchWriter, available_now: bool = True,
