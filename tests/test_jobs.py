@@ -39,8 +39,8 @@ def test_optional_inputs_degrade_to_a_reason(spark, saved, tmp_path):
                                cost_document=saved("broken.json", "nope")))
     assert found["table"]["reason"] == "read_failed" and found["costs"]["reason"] == "read_failed"
     assert found["health"]["status"] == "healthy"
-    found = only(export_status(spark, out, NOW, entries, metadata_document=saved("m.json", METADATA),
-                               cost_document=saved("c.json", COSTS)))
+    found = only(export_status(spark, out, NOW, entries, metadata_document=saved("m.json", json.dumps(METADATA, indent=2)),
+                               cost_document=saved("c.json", json.dumps(COSTS, indent=2))))
     assert found["table"]["total_records"] == 4623785 and found["costs"]["seven_day_net_cost"] == 2.57
     rows = saved("rows.json", row_payload([("2026-08-27", "0.66")], []))
     found = only(export_status(spark, out, NOW, entries, cost_rows=rows,
@@ -65,7 +65,7 @@ def test_jobs_end_to_end(spark, saved, tmp_path):
     out = str(tmp_path / "status")
     jobs.run(spark, ["status", "--input", saved("e.json", logs.evening()), "--output", out,
                      "--now", "2026-08-27T21:20:00Z"])
-    assert json.loads(spark.read.option("wholetext", "true").text(out).first()["value"])["schema_version"] == 3
+    assert json.loads(spark.read.text(out, wholetext=True).first()["value"])["schema_version"] == 3
 
     bill = str(tmp_path / "bill")
     test_reports.billing(spark).select(

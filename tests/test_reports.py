@@ -160,3 +160,12 @@ def test_whole_cost_snapshot_reads_the_lines_once(spark):
     plan_of.collect()
     plan = plan_of._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("text, number", [("5", 5), ("5.5", None), ('"5"', None), ("true", None), ("null", None)])
+def test_counters_are_whole_numbers(spark, text, number):
+    from tickhouse.schemas import COUNTERS
+
+    snapshot = f'{{"messages_received":{text},"messages_sent":7}}'
+    row = spark.range(1).select(F.from_json(F.lit(snapshot), COUNTERS).alias("c")).first()["c"]
+    assert (row["messages_received"], row["messages_sent"]) == (number, 7)

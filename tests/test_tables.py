@@ -60,7 +60,7 @@ def test_current_metadata_follows_the_hint_only(spark, tmp_path):
         folder = tmp_path / name
         folder.mkdir()
         (folder / "version-hint.text").write_text(hint)
-        (folder / "v4531.metadata.json").write_text(json.dumps(METADATA))
+        (folder / "v4531.metadata.json").write_text(json.dumps(METADATA, indent=2))
         (folder / "v4530.metadata.json").write_text("{}")
     (tmp_path / "empty").mkdir()
     folders = {name: str(tmp_path / name) for name in ("good", "bad", "gone", "empty")}

@@ -31,7 +31,7 @@ def _unread(spark: SparkSession, column: str) -> DataFrame:
 def _document(spark: SparkSession, path: str, column: str) -> DataFrame:
     """One whole JSON file for the default pipeline; a missing one is a reason, not a failure."""
     try:
-        text = spark.read.option("wholetext", "true").text(path)
+        text = spark.read.text(path, wholetext=True)
     except AnalysisException:
         return _unread(spark, column)
     return text.select(

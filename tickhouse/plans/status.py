@@ -20,7 +20,7 @@ from tickhouse.operators.journal import classify_logs, newest_per_class
 from tickhouse.operators.loader import loader_alerts, loader_events, loader_summary
 from tickhouse.operators.tables import table_section
 from tickhouse.schemas import COST_SNAPSHOT_TEXT
-from tickhouse.session import aware, lookback_hours
+from tickhouse.session import aware, checkpoint_dir, lookback_hours
 from tickhouse.settings import LogNames, Thresholds
 
 SCHEMA_VERSION = 3
@@ -104,17 +104,21 @@ def status_documents(
     """Sections of the document, one row per pipeline.
 
     ``entries``: normalised log entries. ``pipelines`` lists the pipelines to report even when
-    silent (default: those with entries). ``metadata``: ``pipeline_id, metadata[, reason]``;
+    silent (default: those with entries that count). ``metadata``: ``pipeline_id, metadata[, reason]``;
     ``costs``: ``pipeline_id`` and text snapshot columns ``[, reason]``. With ``bounded_hours``
     the newest entries per class are read as the live report does; ``None`` uses every entry.
     """
     at_now = F.lit(aware(now))
-    if pipelines is None:
-        pipelines = entries.select("pipeline_id").distinct()
     small = bounded_hours is not None
     if small:
         since = F.lit(now - timedelta(hours=lookback_hours(bounded_hours)))
+        checkpoint_dir(entries.sparkSession)
+        # A few hundred entries per pipeline are left; every section below reads those, so the
+        # log itself is scanned and ranked once.
         entries = newest_per_class(classify_logs(entries, since, names)).drop("log_class")
+        entries = entries.checkpoint()
+    if pipelines is None:
+        pipelines = entries.select("pipeline_id").distinct()
     loader_rows = loader_events(entries, names)
     alerts = all_alerts(extractor_alerts(entries, names), loader_alerts(loader_rows))
     extractor = _struct(extractor_summary(extractor_events(entries, names)), "extractor")

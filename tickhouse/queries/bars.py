@@ -45,6 +45,16 @@ def decode_frames(spark, sf_dir):
     )
 
 
+@query("frames_s3_encode", sql(
+    """SELECT part_id, src_offset, '[' || string_agg('{"T":"b","S":"' || symbol || '","o":' || CAST(open AS VARCHAR) || ',"h":' || CAST(high AS VARCHAR)
+         || ',"l":' || CAST(low AS VARCHAR) || ',"c":' || CAST(close AS VARCHAR) || ',"v":' || CAST(volume AS VARCHAR) || ',"t":"' || event_time_text
+         || '","n":' || CAST(trade_count AS VARCHAR) || ',"vw":' || CAST(vwap AS VARCHAR) || '}', ',' ORDER BY pos) || ']' AS raw
+       FROM bars GROUP BY 1, 2""", "bars"))
+def encode(spark, sf_dir):
+    """Bars as the JSON array messages a producer sends (S3)."""
+    return inputs.raw_frames(spark, sf_dir).select(_long("part_id"), "src_offset", "raw")
+
+
 def _damaged(spark, sf_dir):
     """Bars with some wrong types, blank symbols and times without a zone."""
     number = F.col("event_id")

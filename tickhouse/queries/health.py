@@ -12,7 +12,7 @@ from tickhouse.functions.numbers import queue_depth
 from tickhouse.functions.times import lenient_instant, millis_or_never, seconds_text
 from tickhouse.operators import alerts as alerting
 from tickhouse.operators import extractor, journal, loader
-from tickhouse.plans.status import with_health
+from tickhouse.plans.status import document_json, status_documents, with_health
 from tickhouse.queries import inputs
 from tickhouse.queries.inputs import sql
 from tickhouse.queries.registry import query
@@ -573,6 +573,50 @@ def health_roll_up(spark, sf_dir):
     )
 
 
+DOCUMENT_NOW = datetime(2024, 1, 30, 20, 30, tzinfo=timezone.utc)
+DOCUMENT_CTES = f"""
+w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_id, log_class ORDER BY seen DESC, seq DESC) AS rn
+        FROM ({LOG_CLASS_SQL}) WHERE seen >= TIMESTAMP '2024-01-29 08:30:00')
+      WHERE rn <= CASE log_class WHEN 'extractor' THEN 500 WHEN 'loader_heartbeats' THEN 4 WHEN 'loader_commits' THEN 100 ELSE 20 END),
+ex AS (SELECT logs.* FROM logs JOIN w ON w.seq = logs.seq AND log_class = 'extractor'),
+he AS (SELECT health.* FROM health JOIN w ON w.seq = health.seq AND log_class <> 'extractor'),
+e1 AS (SELECT pipeline_id, arg_max(message, (seen, seq)) FILTER (WHERE event_type IN ('view', 'signup')) AS lm FROM ex GROUP BY 1),
+h1 AS (SELECT pipeline_id, max(seen) FILTER (WHERE event = 'commit_succeeded') AS lc, count(*) FILTER (WHERE event = 'commit_succeeded') AS nc,
+         count(*) FILTER (WHERE event IN ({FAILURES})) AS nf FROM he GROUP BY 1),
+a1 AS (SELECT pipeline_id, count(*) AS na FROM (SELECT pipeline_id FROM ex WHERE event_type = 'error' UNION ALL
+         SELECT pipeline_id FROM he WHERE event IN ({FAILURES})) GROUP BY 1)"""
+
+
+@query("status_d1_documents", sql(
+    f"""SELECT pipeline_id, 'market_open' AS market_state, '2024-01-31T14:30:00Z' AS next_open,
+          CASE lm WHEN 'final metrics' THEN 'clean_shutdown' WHEN 'metrics' THEN 'observed' ELSE 'no_recent_session' END AS extractor_status,
+          strftime(lc, {SECONDS}) AS last_commit_utc, least(48, nc) AS recent_commits, nf AS failure_count, nf = 20 AS capped,
+          least(20, na) AS alerts, 'not_configured' AS table_reason
+        FROM h1 LEFT JOIN e1 USING (pipeline_id) LEFT JOIN a1 USING (pipeline_id)""", "logs", "health", more=DOCUMENT_CTES))
+def documents(spark, sf_dir):
+    """Whole status documents, read back from their JSON text."""
+    texts = document_json(status_documents(_all_entries(spark, sf_dir), DOCUMENT_NOW))
+
+    def at(path):
+        return F.get_json_object("document", path)
+
+    def length(path):
+        return F.json_array_length(at(path)).cast("long")
+
+    return texts.select(
+        "pipeline_id",
+        at("$.market.state").alias("market_state"),
+        at("$.market.next_expected_open_utc").alias("next_open"),
+        at("$.extractor.status").alias("extractor_status"),
+        at("$.loader.last_commit_utc").alias("last_commit_utc"),
+        length("$.loader.recent_commits").alias("recent_commits"),
+        at("$.loader.failure_count").cast("long").alias("failure_count"),
+        at("$.loader.failure_count_is_capped").cast("boolean").alias("capped"),
+        length("$.alerts").alias("alerts"),
+        at("$.table.reason").alias("table_reason"),
+    )
+
+
 @query("status_f6_lenient_times", sql(
     f"""SELECT event_id, CASE event_id % 4 WHEN 0 THEN strftime(ts, {SECONDS}) WHEN 1 THEN strftime(ts - INTERVAL 330 MINUTE, {SECONDS})
           WHEN 2 THEN strftime(date_trunc('day', ts), {SECONDS}) END AS seen_utc FROM events"""))

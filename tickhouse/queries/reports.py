@@ -175,6 +175,40 @@ def cost_section(spark, sf_dir):
     )
 
 
+@query("costs_s12_row_payload", sql(
+    """SELECT s_suppkey, CASE WHEN s_suppkey % 5 <> 0 AND s_suppkey % 7 <> 0 THEN 'USD' END AS currency,
+         CASE WHEN s_suppkey % 5 <> 0 AND s_suppkey % 7 <> 0 THEN CAST(s_suppkey AS VARCHAR) END AS seven_day_net_cost,
+         CASE WHEN s_suppkey % 5 <> 0 AND s_suppkey % 7 <> 0 THEN '2001-06-20' END AS first_day,
+         CASE WHEN s_suppkey % 5 <> 0 AND s_suppkey % 7 <> 0 THEN s_name END AS first_service FROM supplier"""))
+def row_payloads(spark, sf_dir):
+    """Row-encoded snapshots decoded; wrongly shaped ones give nothing."""
+    key = F.col("s_suppkey")
+
+    def cells(*values):
+        return F.concat(F.lit('{"f":['), F.concat_ws(",", *[
+            F.concat(F.lit('{"v":'), value, F.lit("}")) for value in values]), F.lit("]}"))
+
+    def text(value):
+        return F.concat(F.lit('"'), value, F.lit('"'))
+
+    def nested(*values):
+        return F.concat(F.lit('[{"v":'), cells(*values), F.lit("}]"))
+
+    day = F.when(key % 5 == 0, nested(text(F.lit("2001-06-20")))).otherwise(
+        nested(text(F.lit("2001-06-20")), text(F.lit("1.5"))))
+    row = cells(text(F.lit("2001-06-20 06:00:00")), text(F.lit("2001-06-20 05:00:00")), text(F.lit("USD")),
+                text(key.cast("string")), text(F.lit("9")), day, nested(text(F.col("s_name")), text(F.lit("2"))))
+    rows = F.when(key % 7 == 0, F.concat_ws(",", row, row)).otherwise(row)
+    payload = F.concat(F.lit('{"rows":['), rows, F.lit("]}"))
+    found = inputs.table(spark, sf_dir, "supplier").select(
+        "s_suppkey", costs.decode_row_payload(payload).alias("s"))
+    return found.select(
+        "s_suppkey", "s.currency", "s.seven_day_net_cost",
+        F.get("s.daily_costs", F.lit(0))["day_utc"].alias("first_day"),
+        F.get("s.top_services", F.lit(0))["service_name"].alias("first_service"),
+    )
+
+
 @query("costs_f8_scalars", sql(
     """SELECT event_id, CASE event_id % 3 WHEN 0 THEN strftime(to_timestamp(k * 1000003)::TIMESTAMP, '%Y-%m-%dT%H:%M:%SZ')
            WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS seen_utc,
@@ -262,6 +296,37 @@ def metadata_values(spark, sf_dir):
     )
 
 
+@query("tables_p14_section", sql(
+    """SELECT o_orderkey AS table_id, CASE WHEN r IS NULL THEN 'available' ELSE 'unavailable' END AS status, r AS reason,
+         CASE WHEN r IS NULL THEN o_custkey * 100 END AS total_records, CASE WHEN r IS NULL THEN o_custkey END AS total_data_files,
+         CASE WHEN r IS NULL AND o_custkey > 0 THEN 100.0::DOUBLE END AS average_rows_per_data_file,
+         CASE WHEN r IS NULL THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS current_snapshot_commit_utc,
+         CASE WHEN r IS NULL THEN CASE WHEN o_orderstatus = 'F' THEN 'append' ELSE 'other' END END AS latest_operation,
+         CASE WHEN r IS NULL THEN CAST(2 AS BIGINT) END AS snapshot_history_count, CASE WHEN r IS NULL THEN CAST(1 AS BIGINT) END AS metadata_history_count
+       FROM (SELECT *, CASE WHEN o_orderkey % 11 = 0 THEN 'not_configured' WHEN o_orderkey % 11 = 1 THEN 'read_failed' WHEN o_orderkey % 11 = 2 THEN 'invalid_metadata'
+               WHEN o_orderkey % 11 = 3 THEN 'missing_current_snapshot' WHEN o_orderkey % 11 = 4 THEN 'missing_snapshot_summary' END AS r FROM orders)"""))
+def table_sections(spark, sf_dir):
+    """Table sections from one metadata document per order, some unusable."""
+    key, kind = F.col("o_orderkey"), F.col("o_orderkey") % 11
+    committed = F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string")
+    summary = F.when(kind == 4, F.lit("null")).otherwise(F.format_string(
+        '{"operation":"%s","total-records":"%d","total-data-files":"%d"}',
+        F.when(F.col("o_orderstatus") == "F", "Append").otherwise("vacuum"),
+        F.col("o_custkey") * 100, F.col("o_custkey")))
+    current = F.when(kind == 3, key + 5).otherwise(key).cast("string")
+    snapshots = F.concat(
+        F.lit('[{"snapshot-id":-1,"timestamp-ms":1},{"snapshot-id":'), key.cast("string"),
+        F.lit(',"timestamp-ms":'), committed, F.lit(',"summary":'), summary, F.lit("}]"))
+    document = F.concat(F.lit('{"current-snapshot-id":'), current, F.lit(',"snapshots":'), snapshots,
+                        F.lit(',"metadata-log":[{"metadata-file":"a"}]}'))
+    metadata = F.when(kind == 0, F.lit(None)).when(kind == 1, "[]").when(kind == 2, "{}").otherwise(document)
+    rows = inputs.table(spark, sf_dir, "orders").select(key.alias("table_id"), metadata.alias("metadata"))
+    return tables.table_section(rows).select(
+        "table_id", "status", "reason", "total_records", "total_data_files", "average_rows_per_data_file",
+        "current_snapshot_commit_utc", "latest_operation", "snapshot_history_count", "metadata_history_count",
+    )
+
+
 TARGET = 100_000
 
 

@@ -47,7 +47,7 @@ def read_current_metadata(spark: SparkSession, folders: dict[str, str]) -> DataF
 def _texts(spark: SparkSession, folders: list[str], glob: str) -> DataFrame:
     path = F.col("_metadata.file_path")
     return (
-        spark.read.option("wholetext", "true").option("pathGlobFilter", glob).text(folders)
+        spark.read.text(folders, wholetext=True, pathGlobFilter=glob)
         .select(
             path.alias("path"),
             F.regexp_replace(path, "/[^/]*$", "").alias("folder"),
