@@ -11,6 +11,7 @@ import test_loader
 from tickhouse.operators import decode, loader, readviews
 from tickhouse.operators.tables import reconcile
 from tickhouse.schemas import FRAME
+from tickhouse.sources import catalog
 from tickhouse.sources.frames import read_landed, stream_landed
 from tickhouse.streaming import heartbeat, ingest, views
 
@@ -98,6 +99,23 @@ def test_strict_ingest_stops_at_a_poison_frame_and_recovers(spark, place):
     assert (summary["failure_count"], summary["last_failure_code"]) == (1, "loader_data_file_write_failed")
 
 
+def test_ingest_into_a_catalog_table(spark, place):
+    landed, paths = place
+    drop_file(spark, landed, [frame(0, [bar(0), bar(1)])])
+    table = catalog.ensure_table(spark, "spark_catalog", "stream", "bars_raw")
+    writer = ingest.BatchWriter(paths, "q", table=table)
+    rows = read_landed(spark, landed)
+    writer(rows, 0)
+    writer(rows, 0)
+    assert spark.table(table).count() == 4
+    assert spark.table(table).select("payload_hash").distinct().count() == 2
+    with pytest.raises(Exception):
+        ingest.BatchWriter(paths, "q", table="spark_catalog.stream.absent")(rows, 1)
+    failed = ingest.read_ledger(spark, paths.ledger).filter("failure_type is not null").first()
+    assert (failed["failure_type"], failed["data_commit_status"]) == ("iceberg_commit_failed", "not_committed")
+    assert ingest.commit_failure(RuntimeError("x.CommitStateUnknownException")) == "iceberg_commit_state_unknown"
+
+
 def test_landing_keeps_the_payload_untouched(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     odd = ' [ {"T" : "b"} ]\n'

@@ -101,6 +101,9 @@ def pair_commits(events: DataFrame, small_groups: bool = False) -> DataFrame:
     event = F.col("event")
     steps = events.filter(F.col("process_id").isNotNull()).filter(
         event.isin(COMMIT_STARTED, COMMIT_SUCCEEDED, *FAILURE_EVENTS)
+    ).select(
+        *keys, *ORDER, "event", "batch_bars", "batch_source_records", "last_commit_at_utc",
+        "durable_commit_total_duration_ms",
     )
     pending = F.struct("event", "batch_bars", "batch_source_records")
     if small_groups:

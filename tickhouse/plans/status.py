@@ -112,11 +112,12 @@ def status_documents(
     small = bounded_hours is not None
     if small:
         since = F.lit(now - timedelta(hours=lookback_hours(bounded_hours)))
-        checkpoint_dir(entries.sparkSession)
-        # A few hundred entries per pipeline are left; every section below reads those, so the
-        # log itself is scanned and ranked once.
         entries = newest_per_class(classify_logs(entries, since, names)).drop("log_class")
-        entries = entries.checkpoint()
+    else:
+        entries = entries.filter(F.col("unit").isin(names.extractor_unit, names.loader_unit))
+    # Every section below reads these entries: the log itself is scanned and parsed once.
+    checkpoint_dir(entries.sparkSession)
+    entries = entries.checkpoint()
     if pipelines is None:
         pipelines = entries.select("pipeline_id").distinct()
     loader_rows = loader_events(entries, names)

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickhouse.operators.decode import accepted, decode, explode_bars, quarantine, stored_bars
 from tickhouse.schemas import LEDGER
 from tickhouse.settings import COMMIT_STARTED, COMMIT_SUCCEEDED
+from tickhouse.sources.catalog import append_bars
 
 # What each failure says about durability (data, offsets).
 FAILURE_STATUS = {
@@ -40,6 +41,13 @@ class IngestPaths:
     checkpoint: str
 
 
+def commit_failure(error: Exception) -> str:
+    """Class of a failed catalog append: when the outcome is unknown the data may be there."""
+    if "CommitStateUnknown" in str(error):
+        return "iceberg_commit_state_unknown"
+    return "iceberg_commit_failed"
+
+
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -54,14 +62,20 @@ def land_frames(frames: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 
 
 class BatchWriter:
-    """The ``foreachBatch`` body of an ingest query."""
+    """The ``foreachBatch`` body of an ingest query.
+
+    With ``table`` bars are appended to that catalog table instead of the bars folder. Such an
+    append is atomic but not replaced by a replay; the read views resolve the copies.
+    """
 
     def __init__(self, paths: IngestPaths, query_id: str, strict: bool = False,
-                 max_bars_per_file: int | None = None, clock: Callable[[], datetime] = utc_now):
+                 max_bars_per_file: int | None = None, table: str | None = None,
+                 clock: Callable[[], datetime] = utc_now):
         self.paths = paths
         self.query_id = query_id
         self.strict = strict
         self.max_bars_per_file = max_bars_per_file
+        self.table = table
         self.clock = clock
 
     def folder(self, base: str, batch_id: int) -> str:
@@ -78,7 +92,9 @@ class BatchWriter:
             failure = "offset_commit_failed"
             self._write_offsets(frames, batch_id)
             self._log(frames.sparkSession, batch_id, COMMIT_SUCCEEDED, started, self.clock(), counts)
-        except Exception:
+        except Exception as error:
+            if failure == "data_file_write_failed" and self.table:
+                failure = commit_failure(error)
             self._log(frames.sparkSession, batch_id, failure, started, self.clock(), counts)
             raise
 
@@ -101,10 +117,13 @@ class BatchWriter:
         rows = stored_bars(explode_bars(accepted(observed)), F.lit(started)).withColumn(
             "event_date", F.to_date("event_ts")
         ).observe(written, F.count(F.lit(1)).alias("inserted"))
-        writer = rows.write.mode("overwrite").partitionBy("event_date")
-        if self.max_bars_per_file:
-            writer = writer.option("maxRecordsPerFile", self.max_bars_per_file)
-        writer.parquet(self.folder(self.paths.bars, batch_id))
+        if self.table:
+            append_bars(rows, self.table)
+        else:
+            writer = rows.write.mode("overwrite").partitionBy("event_date")
+            if self.max_bars_per_file:
+                writer = writer.option("maxRecordsPerFile", self.max_bars_per_file)
+            writer.parquet(self.folder(self.paths.bars, batch_id))
         counts = {**received.get, **written.get}
         if counts["quarantined_frames"]:
             # Parsed a second time, and only when a frame was refused: cheaper than caching all.
