@@ -41,7 +41,7 @@ def place_frames(frames: DataFrame, span: int = OFFSET_SPAN) -> DataFrame:
     so their offsets are never committable on their own.
     """
     sized = frames.filter(F.col("frame_size") > 0).withColumn(
-        "_span", F.floor(F.col("src_offset") / F.lit(span))
+        "_span", F.call_function("div", F.col("src_offset"), F.lit(span))
     )
     spans = sized.groupBy(*SOURCE, "_span").agg(F.sum("frame_size").alias("_bars"))
     earlier = (
@@ -64,7 +64,8 @@ def place_frames(frames: DataFrame, span: int = OFFSET_SPAN) -> DataFrame:
 
 
 def batch_of(position: Column, limit: int) -> Column:
-    return F.floor(position / F.lit(_checked(limit))).cast("long")
+    # Integer division: a double would lose exactness for very long logs.
+    return F.call_function("div", position, F.lit(_checked(limit)))
 
 
 def assign_bars(placed_bars: DataFrame, limit: int = 100) -> DataFrame:

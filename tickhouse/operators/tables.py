@@ -128,7 +128,7 @@ def bin_plan(files: DataFrame, target_bytes: int) -> DataFrame:
     )
     before = F.col("_through") - F.col("file_size")
     return ordered.withColumn(
-        "bin_id", F.floor(before / F.lit(target_bytes)).cast("long")
+        "bin_id", F.call_function("div", before, F.lit(target_bytes))
     ).drop("_through")
 
 
