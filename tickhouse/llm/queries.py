@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickhouse.llm import quality
-from tickhouse.llm.common import prepare, table
+from tickhouse.llm import packing, quality, warc
+from tickhouse.llm.common import prepare, saved, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +59,32 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         quality.rejects(quality.BASE).alias("base_failed"), "kept",
     )
+
+
+@query("op7_warc_revisits", sql=r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS original FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < original THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < original THEN original END AS refers_to
+FROM g
+""")
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    pages = table(spark, sf_dir, "pages")
+    warc.write_archive(pages, folder)
+    kind = pages.schema["page_id"].dataType
+    rows = warc.resolve_references(saved(warc.read_archive(spark, folder)))
+    return rows.select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+@query("op5_mixture_packing")
+def op5_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
