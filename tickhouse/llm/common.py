@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickhouse.session import checkpoint_dir, configure
 
@@ -53,11 +54,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def by_batch(
-    rows: DataFrame, schema: str, function: Callable[[pa.RecordBatch], dict | None]
+    rows: DataFrame, schema: str | StructType, function: Callable[[pa.RecordBatch], dict | None]
 ) -> DataFrame:
     """Apply a function to each Arrow batch; it returns the output columns by name."""
-    spark = prepare(rows.sparkSession)
-    names = [field.name for field in spark.createDataFrame([], schema).schema]
+    prepare(rows.sparkSession)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

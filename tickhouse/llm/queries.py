@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickhouse.llm import packing, quality, warc
+from tickhouse.llm import decontamination, packing, quality, warc
 from tickhouse.llm.common import prepare, saved, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,36 @@ def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_mixture_packing")
 def op5_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@query("op10_benchmark_decontamination", sql=r"""
+WITH i AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item, k, array_to_string(w[p:p + k - 1], ' ') AS g
+  FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS p
+        FROM (SELECT *, least(len(w), 13) AS k FROM i WHERE len(w) > 0))),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dw AS (
+  SELECT r, k, p, array_to_string(w[p:p + k - 1], ' ') AS g
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS p
+        FROM d, (SELECT DISTINCT k FROM iw) WHERE len(w) >= k)),
+h AS (SELECT r, dw.k, p, item FROM dw JOIN iw USING (k, g)),
+n AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(p, p + k)) AS j FROM h)
+      GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       (coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w)) AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN t USING (r)
+""")
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = decontamination.scan(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.report(scanned).drop("spans")
