@@ -78,3 +78,19 @@ def by_batch(
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; null reads as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows as Parquet below the checkpoint folder and read them back: for wide rows."""
+    folder = shared_folder(rows.sparkSession, name)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.parquet(folder)
+
+
+#: Rows of a narrow table (a few numbers each) that may be broadcast: about 10 MB.
+BROADCAST_ROWS = 200_000
+
+
+def sized(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for stored rows that were counted and are few; otherwise as they are."""
+    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickhouse.llm import decontamination, packing, quality, warc
+from tickhouse.llm import decontamination, packing, quality, simhash, warc
 from tickhouse.llm.common import prepare, saved, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,8 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     scanned = decontamination.scan(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontamination.report(scanned).drop("spans")
+
+
+@query("op6_simhash_pivots")
+def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -52,13 +52,15 @@ def payloads(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Data
 
 def resolve(headers: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """The original of each payload that several page ids share: digest, length and page id."""
-    page = F.struct(F.col("page_id").alias("id"))
     groups = headers.where(F.col("payload_bytes") >= min_bytes).groupBy(
         "payload_digest", "payload_bytes"
-    ).agg(F.max(page).alias("most"), F.min(page).alias("least"))
-    return groups.where(~F.col("most").eqNullSafe(F.col("least"))).select(
-        "payload_digest", "payload_bytes", F.col("most.id").alias("original")
+    ).agg(
+        F.max("page_id").alias("original"), F.min("page_id").alias("least"),
+        F.count(F.lit(1)).alias("rows"), F.count("page_id").alias("named"),
     )
+    # A null id counts as one below all others; a group of nulls only has no original to name.
+    return groups.where("original > least OR (named > 0 AND named < rows)").select(
+        "payload_digest", "payload_bytes", "original")
 
 
 def record_id(page_id: Column, digest: Column) -> Column:
@@ -79,9 +81,8 @@ def records(pages: DataFrame, groups: DataFrame, broadcast: bool, date: Column)
     """The text of one WARC record per page, without the last line end."""
     known = F.broadcast(groups) if broadcast else groups
     joined = pages.join(known, ["payload_digest", "payload_bytes"], "left")
-    page = F.struct(F.col("page_id").alias("id"))
-    revisit = (F.col("original").isNotNull()
-               & (page < F.struct(F.col("original").alias("id"))))
+    revisit = F.col("original").isNotNull() & (
+        F.col("page_id").isNull() | (F.col("page_id") < F.col("original")))
     url = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
