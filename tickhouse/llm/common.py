@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -94,3 +95,19 @@ BROADCAST_ROWS = 200_000
 def sized(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint for stored rows that were counted and are few; otherwise as they are."""
     return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """Add ``rid``, which names a row for good: file and row number of the scan it comes from.
+
+    Unlike a generated id it does not depend on how a later scan is cut into tasks, so two scans of
+    the same files agree on it. Rows that do not come straight from Parquet files are stored first.
+    Returns ``rid`` and ``row``, a struct of all columns, so nothing can clash.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rid = F.struct(F.xxhash64("_metadata.file_path").alias("file"),
+                   F.col("_metadata.row_index").alias("at")).alias("rid")
+    try:
+        return docs.select(rid, row)
+    except AnalysisException:
+        return stored(docs.select(row), "rows").select(rid, "row")

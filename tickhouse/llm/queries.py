@@ -8,7 +8,17 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickhouse.llm import decontamination, packing, quality, secrets, simhash, tokencounts, warc
+from tickhouse.llm import (
+    decontamination,
+    licenses,
+    linededup,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    tokencounts,
+    warc,
+)
 from tickhouse.llm.common import prepare, saved, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +146,19 @@ def op2_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op3_license_windows", sql=licenses.oracle())
+def op3_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_fuzzy_lines")
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return deduped.select(
+        "row.doc_id", F.size(F.split(F.coalesce("row.text", F.lit("")), "\n", -1)).alias("n_lines"),
+        F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
+        F.coalesce(F.array_join("removed", ","), F.lit("")).alias("removed_lines"),
+        F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"),
+    )
