@@ -16,6 +16,7 @@ from tickhouse.llm import (
     quality,
     secrets,
     simhash,
+    suffixdedup,
     tokencounts,
     warc,
 )
@@ -162,3 +163,9 @@ def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_join("removed", ","), F.lit("")).alias("removed_lines"),
         F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"),
     )
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixdedup.digest(suffixdedup.remove_repeats(documents))
