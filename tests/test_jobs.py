@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,13 +8,13 @@ from pyspark.sql import functions as F
 import logs
 import test_reports
 import test_streaming
-from test_status import COSTS, row_payload
+from test_status import COSTS, NOW, payload
 from test_tables import METADATA
 from tickhouse import jobs
 from tickhouse.plans import compaction
 from tickhouse.plans.report import export_status
 
-NOW = datetime(2026, 8, 27, 21, 20, tzinfo=timezone.utc)
+COSTS = {**COSTS, "currency": "USD"}
 
 
 @pytest.fixture
@@ -33,7 +32,7 @@ def only(documents):
 
 
 def test_optional_inputs_degrade_to_a_reason(spark, saved, tmp_path):
-    entries = saved("entries.json", logs.evening())
+    entries = saved("entries.json", logs.session())
     out = str(tmp_path / "out")
     found = only(export_status(spark, out, NOW, entries, metadata_document=str(tmp_path / "absent"),
                                cost_document=saved("broken.json", "nope")))
@@ -41,17 +40,17 @@ def test_optional_inputs_degrade_to_a_reason(spark, saved, tmp_path):
     assert found["health"]["status"] == "healthy"
     found = only(export_status(spark, out, NOW, entries, metadata_document=saved("m.json", json.dumps(METADATA, indent=2)),
                                cost_document=saved("c.json", json.dumps(COSTS, indent=2))))
-    assert found["table"]["total_records"] == 4623785 and found["costs"]["seven_day_net_cost"] == 2.57
-    rows = saved("rows.json", row_payload([("2026-08-27", "0.66")], []))
+    assert found["table"]["total_records"] == 12000 and found["costs"]["seven_day_net_cost"] == 12.5
+    rows = saved("rows.json", payload([("2025-03-11", "0.75")], []).replace("EUR", "USD"))
     found = only(export_status(spark, out, NOW, entries, cost_rows=rows,
                                metadata_folders={"default": str(tmp_path / "absent")}))
-    assert found["costs"]["today_net_cost"] == 0.66 and found["table"]["reason"] == "read_failed"
+    assert found["costs"]["today_net_cost"] == 0.75 and found["table"]["reason"] == "read_failed"
 
 
 def test_export_arguments(spark, tmp_path):
     for bad in [dict(), dict(saved_entries="a", live_entries=spark.range(1)),
                 dict(saved_entries="a", metadata_document="m", metadata_folders={}),
-                dict(saved_entries="a", cost_document="c", cost_rows="r"), dict(saved_entries="a", hours=0)]:
+                dict(saved_entries="a", cost_document="c", cost_rows="r")]:
         with pytest.raises(ValueError):
             export_status(spark, str(tmp_path / "o"), NOW, **bad)
 
@@ -63,8 +62,8 @@ def test_jobs_end_to_end(spark, saved, tmp_path):
     assert spark.read.parquet(f"{root}/bars").count() == 1
 
     out = str(tmp_path / "status")
-    jobs.run(spark, ["status", "--input", saved("e.json", logs.evening()), "--output", out,
-                     "--now", "2026-08-27T21:20:00Z"])
+    jobs.run(spark, ["status", "--input", saved("e.jsonl", "\n".join(map(json.dumps, logs.session()))), "--output", out,
+                     "--now", "2025-03-11T20:16:00Z", "--json-lines", "--forbid", logs.TOPIC])
     assert json.loads(spark.read.text(out, wholetext=True).first()["value"])["schema_version"] == 3
 
     bill = str(tmp_path / "bill")
@@ -76,8 +75,16 @@ def test_jobs_end_to_end(spark, saved, tmp_path):
                      "--now", "2026-09-03T12:00:00Z"])
     assert float(spark.read.parquet(str(tmp_path / "snap")).first()["seven_day_net_cost"]) == 11.5
 
-    table = str(tmp_path / "table")
-    spark.range(100).repartition(5).write.parquet(compaction.generation_path(table, 1))
-    compaction.publish(spark, table, 1, "load", compaction.parquet_metrics(spark, table, 1))
-    jobs.run(spark, ["compact", "--root", table, "--expected", "1", "--receipt", str(tmp_path / "r.json"), "--run-id", "x"])
-    assert compaction.current_generation(spark, table) == 2
+    test_streaming.drop_file(spark, landed, [test_streaming.frame(1, [test_streaming.bar(1), test_streaming.bar(2)])])
+    jobs.run(spark, ["ingest", "--landed", landed, "--root", root, "--drain", "--backfill"])
+    bars, target = f"{root}/bars", str(tmp_path / "compacted")
+    samples = str(tmp_path / "samples")
+    spark.createDataFrame([(bars, NOW, "1", "1"), (bars, NOW, "1", "2")], "table_id string, sampled_at timestamp, "
+                          "metadata_version string, snapshot_id string").write.parquet(samples)
+    compact = ["compact", "--root", bars, "--target", target, "--receipt", str(tmp_path / "r.json"), "--run-id", "x"]
+    with pytest.raises(compaction.CompactionRefused, match="quiet_window"):
+        jobs.run(spark, [*compact, "--samples", samples])
+    jobs.run(spark, compact)
+    stored, after = spark.read.parquet(bars), spark.read.parquet(target)
+    assert compaction.content_digest(stored) == compaction.content_digest(after) and after.count() == 3
+    assert compaction.folder_state(after)["files"] < compaction.folder_state(stored)["files"]

@@ -130,8 +130,7 @@ def pending_by_hand(events):
     return sorted(commits)
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_commit_pairing_against_a_pending_map(spark, small):
+def test_commit_pairing_against_a_pending_map(spark):
     rng = random.Random(11)
     kinds = ["heartbeat", "commit_started", "commit_started", "commit_succeeded", "loader_failed"]
     events = []
@@ -142,7 +141,7 @@ def test_commit_pairing_against_a_pending_map(spark, small):
             rng.choice("ab"), rng.choice(["p", "p", "q", None]), START + timedelta(seconds=i // 4), i, kind,
             i * 10 if start else None, i if start else None, None, i if kind == "commit_succeeded" else None))
     rng.shuffle(events)
-    pairs = loader.pair_commits(spark.createDataFrame(events, EVENT), small).collect()
+    pairs = loader.pair_commits(spark.createDataFrame(events, EVENT)).collect()
     got = sorted((r["pipeline_id"], r["seq"], r["bars"], r["source_records"], r["duration_ms"]) for r in pairs)
     assert got == pending_by_hand(events)
 
@@ -178,8 +177,9 @@ def test_idle_watch(spark):
 
 def test_newest_logs_are_cut_before_the_shuffle(spark):
     from tickhouse.operators import journal
+    from tickhouse.settings import LIVE_READ_LIMITS
 
     entries = inputs.log_entries(spark, "/root/testdata/sf0.001").withColumn("log_class", F.lit("extractor"))
-    plan = journal.newest_per_class(entries)._jdf.queryExecution().executedPlan().toString()
+    plan = journal.newest_per_class(entries, LIVE_READ_LIMITS)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")

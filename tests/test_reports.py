@@ -49,7 +49,7 @@ def test_small_texts(spark):
     assert one(spark, display.bar_height(F.lit(500), F.lit(1000), 1.0)) == 50.0
     assert one(spark, display.bar_height(F.lit(None), F.lit(None), 1.0)) == 8.0
     assert one(spark, codes.redacted(F.lit("abc"))) == "<redacted>"
-    assert one(spark, codes.redacted(F.lit("PKCP1234"))) == "PKCP…<redacted>"
+    assert one(spark, codes.redacted(F.lit("ZQ9X-77"))) == "ZQ9X…<redacted>"
 
 
 @pytest.mark.parametrize("at, state, opening", [

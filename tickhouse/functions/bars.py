@@ -19,14 +19,10 @@ def event_id(symbol: Column, ts: Column) -> Column:
     return F.sha2(F.concat_ws("|", symbol, micros_text(ts)), 256)
 
 
-def cents(price: Column) -> Column:
-    return F.round(price * 100).cast("long")
-
-
 def typical_price(high: Column, low: Column, close: Column) -> Column:
-    """Mean of high, low and close at two decimals, computed on integer cents."""
-    total = cents(high) + cents(low) + cents(close)
-    return F.floor((total * 2 + 3) / F.lit(6)).cast("long") / F.lit(100.0)
+    """Mean of high, low and close, taken in decimals and rounded once to two places."""
+    total = sum((p.cast("decimal(24,10)") for p in (low, close)), high.cast("decimal(24,10)"))
+    return F.round(total / F.lit(3), 2).cast("double")
 
 
 def trade_count(volume: Column) -> Column:

@@ -1,15 +1,16 @@
-"""``spark-submit`` entry points: ingest, status, costs, compact, quiet-window check."""
+"""``spark-submit`` entry points: ingest, status, costs, compact (behind a quiet-window check)."""
 
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tickhouse.operators.costs import cost_snapshot, flat_lines
-from tickhouse.plans.compaction import compact_iceberg, compact_parquet
+from tickhouse.operators.upkeep import quiet_tables
+from tickhouse.plans.compaction import CompactionRefused, compact_days, compact_iceberg
 from tickhouse.plans.report import export_status
 from tickhouse.session import DEFAULT_TARGET_FILE_BYTES, configure, target_file_bytes
 from tickhouse.sources.frames import read_topic, stream_landed, topic_options
@@ -33,7 +34,11 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--topic", default="bars")
     ingest.add_argument("--root", required=True, help="folder of the raw table and its ledger")
     ingest.add_argument("--query-id", default="ingest")
+    ingest.add_argument("--table", help="append to this catalog.namespace.table, not to --root/bars")
     ingest.add_argument("--max-per-trigger", type=int)
+    ingest.add_argument("--min-per-trigger", type=int, help="topic: frames to wait for ...")
+    ingest.add_argument("--max-delay", default="300s", help="... but no longer than this")
+    ingest.add_argument("--backfill", action="store_true", help="gather rows by date before writing")
     ingest.add_argument("--interval", default="300 seconds")
     ingest.add_argument("--drain", action="store_true", help="stop when everything is read")
     ingest.add_argument("--strict", action="store_true", help="fail on a malformed frame")
@@ -44,6 +49,8 @@ def parser() -> argparse.ArgumentParser:
     status.add_argument("--now", type=instant)
     status.add_argument("--table-metadata")
     status.add_argument("--cost-snapshot")
+    status.add_argument("--json-lines", action="store_true", help="one log entry per line")
+    status.add_argument("--forbid", action="append", default=[], help="text that no document may contain")
 
     costs = commands.add_parser("costs", help="cost snapshot from a billing export")
     costs.add_argument("--billing", required=True)
@@ -53,9 +60,13 @@ def parser() -> argparse.ArgumentParser:
 
     compact = commands.add_parser("compact", help="guarded data-file compaction")
     where = compact.add_mutually_exclusive_group(required=True)
-    where.add_argument("--root", help="root of a generation-based Parquet table")
+    where.add_argument("--root", help="bar folder that ingest fills")
     where.add_argument("--table", help="catalog.namespace.table of an Iceberg table")
-    compact.add_argument("--expected", required=True, help="expected snapshot or generation")
+    compact.add_argument("--target", help="new folder, with --root")
+    compact.add_argument("--day", type=date.fromisoformat, action="append", help="with --root; default all")
+    compact.add_argument("--expected", help="expected snapshot, or folder version with --root")
+    compact.add_argument("--samples", help="Parquet of table samples; the table must have been quiet")
+    compact.add_argument("--quiet-seconds", type=int, default=900)
     compact.add_argument("--receipt", required=True)
     compact.add_argument("--run-id", required=True)
     compact.add_argument("--target-bytes", type=int, default=DEFAULT_TARGET_FILE_BYTES)
@@ -67,28 +78,38 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
     configure(spark)
     now = getattr(args, "now", None) or datetime.now(timezone.utc)
     if args.command == "ingest":
-        names = ("bars", "quarantine", "offsets", "ledger", "checkpoint")
+        names = ("bars", "quarantine", "ledger", "checkpoint")
         paths = IngestPaths(**{name: f"{args.root}/{name}" for name in names})
         if args.landed:
             frames = stream_landed(spark, args.landed, max_files=args.max_per_trigger)
         else:
-            frames = read_topic(spark, topic_options(args.servers, args.topic, args.max_per_trigger))
-        writer = BatchWriter(paths, args.query_id, args.strict)
+            frames = read_topic(spark, topic_options(
+                args.servers, args.topic, args.max_per_trigger, args.min_per_trigger, args.max_delay))
+        writer = BatchWriter(paths, args.query_id, args.strict, table=args.table, rebalance=args.backfill)
         start_ingest(frames, writer, args.drain, args.interval).awaitTermination()
     elif args.command == "status":
         export_status(spark, args.output, now, args.input, metadata_document=args.table_metadata,
-                      cost_document=args.cost_snapshot)
+                      cost_document=args.cost_snapshot, json_lines=args.json_lines,
+                      forbidden=tuple(args.forbid))
     elif args.command == "costs":
         lines = flat_lines(spark.read.parquet(args.billing))
         write_snapshot(cost_snapshot(lines, F.lit(now), args.project), args.output)
     else:
         size = target_file_bytes(args.target_bytes)
+        name = args.root or args.table
+        if args.samples:
+            quiet = quiet_tables(spark.read.parquet(args.samples), args.quiet_seconds)
+            if not quiet.filter((F.col("table_id") == name) & F.col("is_quiet")).limit(1).count():
+                raise CompactionRefused(["quiet_window"])
         if args.root:
-            compact_parquet(spark, args.root, int(args.expected), args.receipt, args.run_id, size)
+            if not args.target:
+                raise ValueError("--root needs --target")
+            compact_days(spark, args.root, args.target, args.receipt, args.run_id, args.day,
+                         args.expected, size)
         else:
-            catalog, namespace, table = args.table.split(".")
-            compact_iceberg(spark, catalog, namespace, table, args.expected, args.receipt,
-                            args.run_id, size)
+            if not args.expected:
+                raise ValueError("--table needs --expected")
+            compact_iceberg(spark, args.table, args.expected, args.receipt, args.run_id, size)
 
 
 if __name__ == "__main__":

@@ -75,6 +75,27 @@ def assign_bars(placed_bars: DataFrame, limit: int = 100) -> DataFrame:
     )
 
 
+def batched_bars(bars: DataFrame, limit: int = 100, span: int = OFFSET_SPAN) -> DataFrame:
+    """Batch number of each exploded bar, straight from the bars.
+
+    Bars are stored once and exchanged once by span of offsets, where a window counts them; only the
+    bars per span are added up and joined, a row per 131,072 offsets. Frames are parsed one time.
+    """
+    checkpoint_dir(bars.sparkSession)
+    spanned = bars.withColumn(
+        "_span", F.call_function("div", F.col("src_offset"), F.lit(span))).checkpoint()
+    earlier = (
+        Window.partitionBy(*SOURCE).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = spanned.groupBy(*SOURCE, "_span").agg(F.count(F.lit(1)).alias("_bars")).select(
+        *SOURCE, "_span", F.coalesce(F.sum("_bars").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*SOURCE, "_span").orderBy("src_offset", "pos")
+    counted = spanned.withColumn("_inside", F.row_number().over(inside) - 1)
+    return counted.join(starts, [*SOURCE, "_span"]).withColumn(
+        "batch_id", batch_of(F.col("_start") + F.col("_inside"), limit)
+    ).drop("_span", "_start", "_inside")
+
+
 def frame_pieces(placed: DataFrame, limit: int = 100) -> DataFrame:
     """One row per (frame, batch it touches): bars in that piece and whether it ends the frame."""
     first, size = F.col("first_bar"), F.col("frame_size")

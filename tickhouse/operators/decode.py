@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tickhouse.functions.bars import payload_hash
 from tickhouse.functions.lets import once
@@ -16,19 +17,33 @@ COUNTS = ("volume", "trade_count")
 POSITION = ("topic", "part_id", "src_offset")
 
 
+def _price(text: Column) -> Column:
+    """A finite number; texts such as NaN, Infinity or 1d are not prices."""
+    value = F.when(text.rlike(r"^\s*[-+.0-9eE]+\s*$"), text.try_cast("double"))
+    return F.when(value - value == 0, value)
+
+
 def _typed(bar: Column) -> Column:
     columns = []
     for name in BAR_COLUMNS:
         text = bar[name]
         if name in PRICES:
-            text = text.try_cast("double")
+            text = _price(text)
         elif name in COUNTS:
             text = whole_number(text)
         columns.append(text.alias(name))
     return F.struct(*columns, strict_instant(bar["event_time_text"]).alias("event_ts"))
 
 
-def bar_fault(bar: Column) -> Column:
+def _symbol_is_text(raw: Column, position: Column) -> Column:
+    """Is the symbol at a position of the frame a JSON string? Asked only where its text looks like
+    an array or object, which a string may do too."""
+    path = F.concat(F.lit("$["), position.cast("string"), F.lit("].S"))
+    value = F.try_variant_get(F.try_parse_json(raw), path, "variant")
+    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
+
+
+def bar_fault(bar: Column, raw: Column, position: Column) -> Column:
     """Why one parsed bar is refused, or null. Missing and mistyped members look the same."""
     missing = bar.isNull()
     for name in BAR_COLUMNS:
@@ -37,13 +52,16 @@ def bar_fault(bar: Column) -> Column:
     return (
         F.when(missing, "missing_member")
         .when(bar["bar_type"] != "b", "not_a_bar")
-        .when((F.trim(symbol) == "") | symbol.rlike(r"^[\[{]"), "blank_symbol")
+        .when(~symbol.rlike(r"[^\p{javaWhitespace}]"), "blank_symbol")
+        .when(
+            symbol.rlike(r"^[\[{]") & ~_symbol_is_text(raw, position), "blank_symbol"
+        )
         .when(bar["event_ts"].isNull(), "bad_event_time")
     )
 
 
 def _verdict(bars: Column) -> Column:
-    faults = F.transform(bars, bar_fault)
+    faults = F.transform(bars, lambda bar, i: bar_fault(bar, F.col("raw"), i))
     first = F.get(F.filter(faults, lambda fault: fault.isNotNull()), F.lit(0))
     return F.struct(
         bars.alias("bars"),
@@ -52,17 +70,31 @@ def _verdict(bars: Column) -> Column:
     )
 
 
+def _only_array(raw: Column) -> Column:
+    """The bars of a text that is one JSON array and nothing else; null otherwise.
+
+    The parser stops after the first value, so the text is parsed as the first of two elements; the
+    second is a mark made from the text itself. Anything after the array breaks the outer one or
+    moves the mark.
+    """
+    mark = F.xxhash64(raw).cast("string")
+    both = F.concat(F.lit("["), raw, F.lit(',[{"T":"'), mark, F.lit('"}]]'))
+    # The cast renames by position: wire names T and t would be ambiguous afterwards.
+    parsed = F.from_json(both, ArrayType(WIRE_BARS)).cast(ArrayType(TEXT_BARS))
+    return once(parsed, lambda two: F.when(
+        raw.rlike(r"^\s*\[") & (F.size(two) == 2)
+        & (F.get(F.get(two, F.lit(1)), F.lit(0))["bar_type"] == mark),
+        F.get(two, F.lit(0)),
+    ))
+
+
 def decode(frames: DataFrame) -> DataFrame:
     """Add ``bars`` (typed array, order kept), ``bar_faults`` and ``reject_reason`` to each frame.
 
-    A frame is an array at its root; a lone object or anything else is refused. One bad bar
-    refuses its whole frame, and the reason is that of the first bad bar.
+    A frame is exactly one array; a lone object, a second value, trailing text or anything else is
+    refused. One bad bar refuses its whole frame, and the reason is that of the first bad bar.
     """
-    # The cast renames by position: wire names T and t would be ambiguous afterwards.
-    parsed = F.when(
-        F.col("raw").rlike(r"^\s*\["), F.from_json("raw", WIRE_BARS).cast(TEXT_BARS)
-    )
-    decoded = once(F.transform(parsed, _typed), _verdict)
+    decoded = once(F.transform(_only_array(F.col("raw")), _typed), _verdict)
     return frames.withColumn("_d", decoded).select(*frames.columns, "_d.*")
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.functions.codes import alert_code
 from tickhouse.functions.times import seconds_text
+from tickhouse.operators.ordered import Running, scan
 from tickhouse.schemas import COUNTERS
 from tickhouse.settings import FINAL_METRICS, IDLE_SHUTDOWN, METRICS, LogNames
 
@@ -111,18 +112,14 @@ def counter_windows(activity: DataFrame, seconds: int = 60) -> DataFrame:
         F.max(F.when(kind == "received", F.col("at"))).alias("last_message_at"),
         F.max(F.when(kind == "sent", F.col("at"))).alias("last_delivery_at"),
     )
-    so_far = (
-        Window.partitionBy("component")
-        .orderBy("window_start")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return intervals.select(
-        "component",
-        "window_start",
-        *[F.sum(name).over(so_far).alias(name) for name in kinds],
-        F.max("last_message_at").over(so_far).alias("last_message_at"),
-        F.max("last_delivery_at").over(so_far).alias("last_delivery_at"),
+    times = ("last_message_at", "last_delivery_at")
+    counted = intervals.withColumnsRenamed({name: f"_{name}" for name in (*kinds, *times)})
+    totals = scan(
+        counted, ["component"], ["window_start"],
+        **{name: Running("sum", F.col(f"_{name}")) for name in kinds},
+        **{name: Running("max", F.col(f"_{name}")) for name in times},
     )
+    return totals.select("component", "window_start", *kinds, *times)
 
 
 def idle_gaps(frames: DataFrame, idle_seconds: int = 600) -> DataFrame:
@@ -136,10 +133,13 @@ def idle_gaps(frames: DataFrame, idle_seconds: int = 600) -> DataFrame:
     buckets = frames.groupBy(
         "component", F.floor(F.unix_seconds("received_at") / F.lit(idle_seconds)).alias("_bucket")
     ).agg(F.min("received_at").alias("_first"), F.max("received_at").alias("_last"))
-    before = F.lag("_last").over(Window.partitionBy("component").orderBy("_bucket"))
+    ordered = scan(
+        buckets, ["component"], ["_bucket"],
+        last_message_at=Running("previous", F.col("_last")),
+    )
     gap = F.unix_micros("resumed_at") - F.unix_micros("last_message_at")
     return (
-        buckets.select("component", before.alias("last_message_at"), F.col("_first").alias("resumed_at"))
+        ordered.select("component", "last_message_at", F.col("_first").alias("resumed_at"))
         .filter(gap >= idle_seconds * 1_000_000)
         .withColumn("idle_micros", gap)
     )

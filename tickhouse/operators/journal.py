@@ -15,7 +15,6 @@ from tickhouse.settings import (
     HEALTH_PREFIX,
     HEARTBEAT,
     IDLE_SHUTDOWN,
-    LOG_LIMITS,
     METRICS,
     JournalNames,
     LogNames,
@@ -100,21 +99,20 @@ def log_class(names: LogNames = LogNames(), strict: bool = False) -> Column:
     )
 
 
-def classify_logs(entries: DataFrame, since: Column, names: LogNames = LogNames()) -> DataFrame:
-    """Entries of the four classes not older than ``since``, in one pass over the log."""
-    return (
-        entries.filter(F.col("at") >= since)
-        .withColumn("log_class", log_class(names))
-        .filter(F.col("log_class").isNotNull())
-    )
+def classify_logs(
+    entries: DataFrame, since: Column | None = None, names: LogNames = LogNames()
+) -> DataFrame:
+    """Entries of the four classes (not older than ``since``), in one pass over the log."""
+    if since is not None:
+        entries = entries.filter(F.col("at") >= since)
+    return entries.withColumn("log_class", log_class(names)).filter(F.col("log_class").isNotNull())
 
 
-def newest_per_class(classified: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
-    """The newest N entries of each class and pipeline.
+def newest_per_class(classified: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """The newest N entries of each class and pipeline; classes without a limit are left out.
 
     The constant bound lets Spark cut each input task to N rows per group before the shuffle.
     """
-    limits = limits or LOG_LIMITS
     newest = Window.partitionBy("pipeline_id", "log_class").orderBy(
         F.col("at").desc(), F.col("seq").desc()
     )

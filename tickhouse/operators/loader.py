@@ -15,7 +15,6 @@ from tickhouse.settings import (
     COMMIT_SUCCEEDED,
     FAILURE_EVENTS,
     HEARTBEAT,
-    LOG_LIMITS,
     LogNames,
     Thresholds,
 )
@@ -90,12 +89,11 @@ def loader_alerts(events: DataFrame) -> DataFrame:
 # ---- commits -------------------------------------------------------------------------------
 
 
-def pair_commits(events: DataFrame, small_groups: bool = False) -> DataFrame:
+def pair_commits(events: DataFrame) -> DataFrame:
     """Every successful commit with the sizes announced by its start.
 
     Within one process only starts, successes and failures change what is pending, so a success
-    is paired exactly when the row before it (among those) is a start. ``small_groups`` states
-    that each process has a bounded number of events and a plain window will do.
+    is paired exactly when the row before it (among those) is a start.
     """
     keys = ("pipeline_id", "process_id")
     event = F.col("event")
@@ -106,11 +104,7 @@ def pair_commits(events: DataFrame, small_groups: bool = False) -> DataFrame:
         "durable_commit_total_duration_ms",
     )
     pending = F.struct("event", "batch_bars", "batch_source_records")
-    if small_groups:
-        last = F.lag(pending).over(Window.partitionBy(*keys).orderBy(*ORDER))
-        ordered = steps.withColumn("_last", last)
-    else:
-        ordered = scan(steps, keys, ORDER, _last=Running("previous", pending))
+    ordered = scan(steps, keys, ORDER, _last=Running("previous", pending))
     started = F.col("_last.event") == COMMIT_STARTED
     return ordered.filter(event == COMMIT_SUCCEEDED).select(
         *keys,
@@ -145,50 +139,70 @@ def recent_array(commits: DataFrame, limit: int = 48) -> DataFrame:
 # ---- sections ------------------------------------------------------------------------------
 
 
-def failure_summary(events: DataFrame) -> DataFrame:
+def failure_counts(events: DataFrame) -> DataFrame:
+    """``pipeline_id, failure_total``: the failures before anything is cut."""
+    return events.filter(is_failure(F.col("event"))).groupBy("pipeline_id").agg(
+        F.count(F.lit(1)).alias("failure_total")
+    )
+
+
+def failure_summary(events: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """Failures per pipeline. ``totals`` (:func:`failure_counts`) tells what was there before a
+    cut; the cap flag says whether failures were cut."""
     failed = is_failure(F.col("event"))
     return _failure_columns(events.groupBy("pipeline_id").agg(
         F.count_if(failed).alias("failure_count"),
         F.max(F.when(failed, F.struct(*ORDER, "event"))).alias("last_failure"),
-    ))
+    ), totals)
 
 
-def _failure_columns(rows: DataFrame) -> DataFrame:
+def _failure_columns(rows: DataFrame, totals: DataFrame | None) -> DataFrame:
     """Count, cap flag, time and code from ``failure_count`` and ``last_failure``."""
+    if totals is None:
+        rows = rows.withColumn("failure_total", F.col("failure_count"))
+    else:
+        rows = rows.join(totals, "pipeline_id", "left").fillna(0, ["failure_total"])
     return rows.withColumns({
-        "failure_count_is_capped": F.col("failure_count") == LOG_LIMITS["loader_failures"],
+        "failure_count": F.col("failure_total"),
+        "failure_count_is_capped": F.col("failure_total") > F.col("failure_count"),
         "last_failure_at": F.col("last_failure.at"),
         "last_failure_code": failure_code(F.col("last_failure.event")),
-    }).drop("last_failure")
+    }).drop("last_failure", "failure_total")
 
 
 def latest_signals(events: DataFrame) -> DataFrame:
     """Per pipeline: the newest event, the newest heartbeat of that event's process, the newest
-    success of any process and the failures, in one reading of the events.
+    success of any process and the failures.
 
-    Aggregated per process first, so no join is needed."""
+    Positions are aggregated alone, per process and then per pipeline; at most three events of each
+    pipeline are then fetched whole."""
     position = F.struct(*ORDER)
-    row = F.struct(*[c for c in events.columns if c != "pipeline_id"])
     event = F.col("event")
     beat, success, failed = event == HEARTBEAT, event == COMMIT_SUCCEEDED, is_failure(event)
     per_process = events.groupBy("pipeline_id", "process_id").agg(
         F.max(position).alias("newest"),
-        F.max_by(row, position).alias("latest_event"),
-        F.max_by(row, F.when(beat, position)).alias("latest_heartbeat"),
+        F.max(F.when(beat, position)).alias("newest_beat"),
         F.max(F.when(success, position)).alias("newest_success"),
-        F.max_by(row, F.when(success, position)).alias("latest_success"),
         F.count_if(failed).alias("failures"),
         F.max(F.when(failed, F.struct(*ORDER, "event"))).alias("last_failure"),
     )
-    chosen = F.max_by(F.struct("latest_event", "latest_heartbeat"), "newest")
-    return per_process.groupBy("pipeline_id").agg(
-        chosen.alias("chosen"),
-        F.max_by("latest_success", "newest_success").alias("latest_success"),
+    found = per_process.groupBy("pipeline_id").agg(
+        F.max("newest").alias("latest_event"),
+        F.max_by("newest_beat", "newest").alias("latest_heartbeat"),
+        F.max("newest_success").alias("latest_success"),
         F.sum("failures").alias("failure_count"),
         F.max("last_failure").alias("last_failure"),
-    ).select(
-        "pipeline_id", "chosen.latest_event", "chosen.latest_heartbeat", "latest_success",
-        "failure_count", "last_failure",
+    )
+    roles = ("latest_event", "latest_heartbeat", "latest_success")
+    wanted = found.select("pipeline_id", F.explode(F.map_from_arrays(
+        F.array(*[F.lit(role) for role in roles]), F.array(*roles))).alias("_role", "_at"))
+    wanted = wanted.select("pipeline_id", "_role", *[F.col("_at")[c].alias(c) for c in ORDER])
+    row = F.struct(*[c for c in events.columns if c != "pipeline_id"])
+    rows = events.join(wanted, ["pipeline_id", *ORDER]).groupBy("pipeline_id").agg(*[
+        F.first(F.when(F.col("_role") == role, row), ignorenulls=True).alias(role) for role in roles
+    ])
+    return found.drop(*roles).join(rows, "pipeline_id").select(
+        "pipeline_id", *roles, "failure_count", "last_failure"
     )
 
 
@@ -212,10 +226,10 @@ def last_commits(events: DataFrame) -> DataFrame:
 
 
 def loader_summary(
-    events: DataFrame, limits: Thresholds = Thresholds(), small_groups: bool = False
+    events: DataFrame, limits: Thresholds = Thresholds(), totals: DataFrame | None = None
 ) -> DataFrame:
     """The loader section, one row per pipeline that has any loader event."""
-    signals = _failure_columns(latest_signals(events)).withColumn(
+    signals = _failure_columns(latest_signals(events), totals).withColumn(
         "current", F.coalesce("latest_heartbeat", "latest_event")
     )
     current, success = F.col("current"), F.col("latest_success")
@@ -239,7 +253,7 @@ def loader_summary(
         seconds_text(F.col("last_failure_at")).alias("last_failure_utc"),
         "last_failure_code",
     )
-    commits = recent_array(pair_commits(events, small_groups), limits.history_limit)
+    commits = recent_array(pair_commits(events), limits.history_limit)
     return section.join(commits, "pipeline_id", "left")
 
 
@@ -331,35 +345,46 @@ def track_health(
 
     ``samples``: keys, ``at``, ``seq``, ``partitions`` array<struct<part_id, committed_offset,
     end_offset>>, ``committing``, ``buffered_bars``, ``buffered_source_records``. A partition
-    absent from the sample just before counts as new, which is not progress.
+    absent from the sample just before counts as new, which is not progress. Two ordered scans: the
+    sample before each, then start of the lag and last progress.
     """
+    if stall_seconds < 1:
+        raise ValueError("a stall needs at least a second")
     measured = chunk_rows(
         samples.withColumn("lag_records", sample_lag(F.col("partitions"))), keys, ORDER
     )
-    lag = F.col("lag_records")
-    before = F.struct("partitions", "lag_records")
+    lag, at = F.col("lag_records"), F.col("at")
+    before = F.struct("partitions", "lag_records", "committing", "at")
     compared = running(measured, keys, ORDER, _before=Running("previous", before))
+    # The second scan reads this twice; stored, it does not repeat the first.
     flagged = compared.withColumn(
         "progressed", advanced(F.col("partitions"), F.col("_before.partitions"))
     ).withColumn(
         "_lag_starts", (lag > 0) & (F.coalesce(F.col("_before.lag_records"), F.lit(0)) == 0)
-    ).drop("_before")
-    at = F.col("at")
+    ).checkpoint()
     carried = running(
         flagged, keys, ORDER,
         _lag_since=Running("last", F.when(F.col("_lag_starts"), at)),
         last_progress_at=Running("last", F.when((lag == 0) | F.col("progressed"), at)),
     ).withColumn("positive_lag_since", F.when(lag > 0, F.col("_lag_since")))
-    states = carried.withColumn("state", infer_state(
+    told = carried.withColumn("state", infer_state(
         F.size("partitions") > 0, F.col("committing"), lag, F.col("buffered_bars"),
         F.col("buffered_source_records"), F.col("positive_lag_since"), F.col("last_progress_at"),
         at, stall_seconds,
-    )).drop("_lag_starts", "_lag_since")
-    told = running(states, keys, ORDER, _previous_state=Running("previous", F.col("state")))
-    reported = (F.col("state") == "stalled") & (
-        F.coalesce(F.col("_previous_state"), F.lit("")) != "stalled"
+    ))
+    # A stalled sample neither progressed nor began its lag, so the sample before it had the same
+    # lag start and progress: its state needs no scan of its own.
+    previous = F.col("_before")
+    waited = F.unix_micros(previous["at"]) - F.unix_micros(
+        F.greatest("positive_lag_since", "last_progress_at"))
+    was_stalled = F.coalesce(
+        (F.size(previous["partitions"]) > 0) & ~previous["committing"] & (previous["lag_records"] > 0)
+        & (waited >= stall_seconds * 1_000_000),
+        F.lit(False),
     )
-    return told.withColumn("stall_reported", reported).drop("_previous_state", CHUNK)
+    reported = (F.col("state") == "stalled") & ~was_stalled
+    return told.withColumn("stall_reported", reported).drop(
+        "_before", "_lag_starts", "_lag_since", CHUNK)
 
 
 def heartbeat_samples(events: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickhouse.session import aware
@@ -15,17 +15,23 @@ DELIVERY = ("ingested_at", "topic", "part_id", "src_offset", "pos")
 def deduplicated(bars: DataFrame) -> DataFrame:
     """First delivery of every payload with how often it arrived.
 
-    A plain ``min`` over a struct combines map-side, so a payload replayed for a third of the
-    table still reaches its reducer as one row per input task.
+    Equal payloads have equal event times, so with ``event_date`` present each day is resolved by
+    itself and a filter on it prunes both readings. The aggregate holds hash and delivery only and
+    combines map-side; the rows themselves are exchanged once, to meet their first delivery, and a
+    payload that fills a third of the table is split there as a skewed join. Rows that agree in
+    hash and delivery are one.
     """
-    rest = [c for c in bars.columns if c not in (*DELIVERY, "payload_hash")]
+    keys = [c for c in ("event_date", "payload_hash") if c in bars.columns]
+    firsts = bars.groupBy(*keys).agg(
+        F.min(F.struct(*DELIVERY)).alias("_first"), F.count(F.lit(1)).alias("delivery_count")
+    )
+    same = Window.partitionBy(*keys).orderBy(F.lit(0))
     return (
-        bars.groupBy("payload_hash")
-        .agg(
-            F.min(F.struct(*DELIVERY, *rest)).alias("first"),
-            F.count(F.lit(1)).alias("delivery_count"),
-        )
-        .select("payload_hash", "first.*", "delivery_count")
+        bars.join(firsts, keys)
+        .filter(F.struct(*DELIVERY).eqNullSafe(F.col("_first")))
+        .withColumn("_copy", F.row_number().over(same))
+        .filter(F.col("_copy") == 1)
+        .drop("_first", "_copy")
     )
 
 

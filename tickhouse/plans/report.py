@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickhouse.operators.costs import decode_row_payload
-from tickhouse.plans.status import document_json, status_documents
+from tickhouse.plans.status import document_json, leaks, status_documents
 from tickhouse.schemas import COST_SNAPSHOT_TEXT
-from tickhouse.session import at_most_one, aware, exactly_one, lookback_hours
+from tickhouse.session import at_most_one, aware, exactly_one
 from tickhouse.settings import LogNames, Thresholds
 from tickhouse.sources.logs import log_entries, read_log_export
 from tickhouse.sources.metadata import read_current_metadata
@@ -62,46 +62,45 @@ def export_status(
     metadata_folders: dict[str, str] | None = None,
     cost_document: str | None = None,
     cost_rows: str | None = None,
-    hours: int = 36,
+    since: datetime | None = None,
+    newest: dict[str, int] | None = None,
+    json_lines: bool = False,
+    forbidden: tuple[str, ...] = (),
     limits: Thresholds = Thresholds(),
     names: LogNames = LogNames(),
 ) -> DataFrame:
     """Write one status document per pipeline and return them.
 
-    Give either a saved export (every entry counts) or live entries (the newest of each class
-    within ``hours``). Table metadata and costs are optional: when they cannot be read their
-    section says so and the rest of the document is unaffected. ``metadata_folders`` maps a
-    pipeline to its table's metadata folder.
+    Give either a saved export (``json_lines``: one entry per line, which Spark can split) or live
+    entries. Every entry counts unless ``since`` or ``newest`` bound the read. Table metadata and
+    costs are optional: when they cannot be read their section says so and the rest of the document
+    is unaffected. ``metadata_folders`` maps a pipeline to its table's metadata folder. Nothing is
+    written if a document contains one of the ``forbidden`` texts.
     """
     exactly_one(saved_entries, live_entries, "give exactly one of saved or live entries")
     at_most_one(metadata_document, metadata_folders, "give at most one table metadata input")
     at_most_one(cost_document, cost_rows, "give at most one cost snapshot input")
     aware(now)
-    lookback_hours(hours)
     entries, pipelines = live_entries, None
     if saved_entries is not None:
-        entries = log_entries(read_log_export(spark, saved_entries), F.lit(now))
+        raw = read_log_export(spark, saved_entries, json_lines=json_lines)
+        entries = log_entries(raw, F.lit(now))
         pipelines = spark.range(1).select(F.lit(DEFAULT).alias("pipeline_id"))
     metadata = costs = None
     if metadata_document is not None:
         metadata = _document(spark, metadata_document, "metadata")
     elif metadata_folders is not None:
-        try:
-            metadata = read_current_metadata(spark, metadata_folders).withColumnRenamed(
-                "table_id", "pipeline_id"
-            )
-        except AnalysisException:
-            metadata = spark.createDataFrame(
-                [(name, None, "read_failed") for name in metadata_folders],
-                "pipeline_id string, metadata string, reason string",
-            )
+        metadata = read_current_metadata(spark, metadata_folders).withColumnRenamed(
+            "table_id", "pipeline_id"
+        )
     if cost_document is not None or cost_rows is not None:
         documents = _document(spark, cost_document or cost_rows, "document")
         costs = read_costs(documents, row_encoded=cost_rows is not None)
     report = status_documents(
-        entries, now, pipelines, metadata, costs, limits, names,
-        bounded_hours=None if live_entries is None else hours,
+        entries, now, pipelines, metadata, costs, limits, names, since, newest
     )
     documents = document_json(report)
+    if forbidden and leaks(documents, list(forbidden)).limit(1).count():
+        raise ValueError("a status document contains a forbidden text; nothing was written")
     write_documents(documents, output)
     return documents

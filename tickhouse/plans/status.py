@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,10 +17,15 @@ from tickhouse.operators.extractor import (
     extractor_summary,
 )
 from tickhouse.operators.journal import classify_logs, newest_per_class
-from tickhouse.operators.loader import loader_alerts, loader_events, loader_summary
+from tickhouse.operators.loader import (
+    failure_counts,
+    loader_alerts,
+    loader_events,
+    loader_summary,
+)
 from tickhouse.operators.tables import table_section
 from tickhouse.schemas import COST_SNAPSHOT_TEXT
-from tickhouse.session import aware, checkpoint_dir, lookback_hours
+from tickhouse.session import aware, checkpoint_dir
 from tickhouse.settings import LogNames, Thresholds
 
 SCHEMA_VERSION = 3
@@ -99,31 +104,35 @@ def status_documents(
     costs: DataFrame | None = None,
     limits: Thresholds = Thresholds(),
     names: LogNames = LogNames(),
-    bounded_hours: int | None = 36,
+    since: datetime | None = None,
+    newest: dict[str, int] | None = None,
 ) -> DataFrame:
     """Sections of the document, one row per pipeline.
 
     ``entries``: normalised log entries. ``pipelines`` lists the pipelines to report even when
     silent (default: those with entries that count). ``metadata``: ``pipeline_id, metadata[, reason]``;
-    ``costs``: ``pipeline_id`` and text snapshot columns ``[, reason]``. With ``bounded_hours``
-    the newest entries per class are read as the live report does; ``None`` uses every entry.
+    ``costs``: ``pipeline_id`` and text snapshot columns ``[, reason]``. Every entry counts unless
+    the caller bounds the read: ``since`` leaves out older entries, ``newest`` keeps that many of
+    each log class. The failure count is taken before ``newest`` cuts, and its flag tells a cut.
     """
     at_now = F.lit(aware(now))
-    small = bounded_hours is not None
-    if small:
-        since = F.lit(now - timedelta(hours=lookback_hours(bounded_hours)))
-        entries = newest_per_class(classify_logs(entries, since, names)).drop("log_class")
-    else:
-        entries = entries.filter(F.col("unit").isin(names.extractor_unit, names.loader_unit))
+    entries = entries.filter(F.col("unit").isin(names.extractor_unit, names.loader_unit))
+    if since is not None:
+        entries = entries.filter(F.col("at") >= F.lit(aware(since, "since")))
     # Every section below reads these entries: the log itself is scanned and parsed once.
     checkpoint_dir(entries.sparkSession)
     entries = entries.checkpoint()
+    totals = None
+    if newest is not None:
+        totals = failure_counts(loader_events(entries, names))
+        entries = newest_per_class(classify_logs(entries, names=names), newest).drop("log_class")
+        entries = entries.checkpoint()
     if pipelines is None:
         pipelines = entries.select("pipeline_id").distinct()
     loader_rows = loader_events(entries, names)
     alerts = all_alerts(extractor_alerts(entries, names), loader_alerts(loader_rows))
     extractor = _struct(extractor_summary(extractor_events(entries, names)), "extractor")
-    loader = _struct(loader_summary(loader_rows, limits, small_groups=small), "loader")
+    loader = _struct(loader_summary(loader_rows, limits, totals), "loader")
     joined = pipelines.select("pipeline_id")
     for part in (extractor, loader, error_marks(alerts), alert_array(alerts, limits.alert_limit)):
         joined = joined.join(part, "pipeline_id", "left")

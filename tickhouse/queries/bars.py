@@ -61,7 +61,8 @@ def _damaged(spark, sf_dir):
     return (
         inputs.bars(spark, sf_dir)
         .withColumn("bar_type", F.when(number % 11 == 0, "q").otherwise(F.col("bar_type")))
-        .withColumn("symbol", F.when(number % 13 == 0, "  ").otherwise(F.col("symbol")))
+        .withColumn("symbol", F.when(number % 13 == 0, F.when(number % 2 == 0, "  ").otherwise("\t"))
+                    .when(number % 19 == 0, "[X").otherwise(F.col("symbol")))
         .withColumn("event_time_text", F.when(
             number % 17 == 0, F.replace(F.col("event_time_text"), F.lit("Z"), F.lit(""))
         ).otherwise(F.col("event_time_text")))
@@ -86,13 +87,29 @@ def bar_faults(spark, sf_dir):
 
 
 @query("frames_p4_quarantine", sql(
-    """SELECT part_id, src_offset, 'missing_member' AS reject_reason,
-              'missing_member' IS NOT NULL AS has_raw FROM bars WHERE src_offset % 50 = 0 GROUP BY 1, 2""", "bars"))
+    """SELECT part_id, src_offset, CASE WHEN src_offset % 12 IN (0, 1) THEN 'missing_member' WHEN src_offset % 12 = 2 THEN 'not_a_bar'
+              WHEN src_offset % 12 IN (3, 4) THEN 'blank_symbol' WHEN src_offset % 12 = 5 THEN 'bad_event_time' ELSE 'not_an_array' END AS reject_reason,
+              TRUE AS has_raw FROM bars WHERE src_offset % 12 < 10 GROUP BY 1, 2""", "bars"))
 def quarantined_frames(spark, sf_dir):
-    """Frames that lost a member are refused whole and kept with a reason."""
-    frames = inputs.raw_frames(spark, sf_dir).withColumn("raw", F.when(
-        F.col("src_offset") % 50 == 0, F.regexp_replace("raw", '"vw":[0-9.]+\\}\\]$', '"x":1}]')
-    ).otherwise(F.col("raw")))
+    """Damaged frames are refused whole and kept with the reason of their first bad bar."""
+    kind, raw = F.col("src_offset") % 12, F.col("raw")
+    first = lambda pattern, text: F.regexp_replace(
+        "raw", "^(.*?)" + pattern, "$1" + text)
+    damaged = (
+        F.when(kind == 0, F.regexp_replace("raw", '"vw":[0-9.]+\\}\\]$', '"x":1}]'))
+        .when(kind == 1, first('"o":[0-9.]+', '"o":"NaN"'))
+        .when(kind == 2, first('"T":"b"', '"T":"q"'))
+        .when(kind == 3, first('"S":"[^"]*"', '"S":"\\\\t"'))
+        .when(kind == 4, first('"S":"[^"]*"', '"S":["X"]'))
+        .when(kind == 5, first('Z"', '"'))
+        .when(kind == 6, F.concat(raw, raw))
+        .when(kind == 7, F.concat(raw, F.lit(" xyz")))
+        .when(kind == 8, F.concat(raw, F.lit("]")))
+        .when(kind == 9, F.regexp_extract("raw", "^\\[(.*)\\]$", 1))
+        .when(kind == 10, F.concat(F.lit(" \n"), raw, F.lit("\t ")))
+        .otherwise(raw)
+    )
+    frames = inputs.raw_frames(spark, sf_dir).withColumn("raw", damaged)
     return decode.quarantine(decode.decode(frames)).select(
         _long("part_id"), "src_offset", "reject_reason", F.col("raw").isNotNull().alias("has_raw")
     )
@@ -158,16 +175,13 @@ def event_ids(spark, sf_dir):
 
 
 @query("frames_f10_typical_price", sql(
-    """SELECT event_id, (2 * (3 * c + h) + 3) // 6 / 100::DOUBLE AS typical_price,
-              greatest(1, volume // 100) AS trade_count
-       FROM (SELECT *, CAST(round(close * 100) AS BIGINT) AS c, event_id % 5 AS h FROM bars)""", "bars"))
+    """SELECT event_id, (2 * s + 300) // 600 / 100::DOUBLE AS typical_price, greatest(1, volume // 100) AS trade_count
+       FROM (SELECT *, 300 * CAST(round(close * 100) AS BIGINT) + event_id % 500 + event_id % 97 AS s FROM bars)""", "bars"))
 def typical_prices(spark, sf_dir):
-    """Typical price and trade count a producer derives."""
-    return inputs.bars(spark, sf_dir).withColumn(
-        "high", F.col("close") + (F.col("event_id") % 5) / F.lit(100.0)
-    ).select(
-        "event_id",
-        typical_price(F.col("high"), F.col("close"), F.col("close")).alias("typical_price"),
+    """Typical price and trade count a producer derives, from prices of a hundredth of a cent."""
+    part = lambda n: F.col("close") + (F.col("event_id") % n) / F.lit(10000.0)
+    return inputs.bars(spark, sf_dir).select(
+        "event_id", typical_price(part(500), F.col("close"), part(97)).alias("typical_price"),
         trade_count(F.col("volume")).alias("trade_count"),
     )
 
@@ -233,12 +247,10 @@ LIMIT = 100
     f"""SELECT part_id, src_offset, pos_in_frame AS pos, place // {LIMIT} AS batch_id, is_final FROM placed""", "placed"))
 def batch_ids(spark, sf_dir):
     """Batch of every decoded bar and whether it ends its frame."""
-    decoded = decode.decode(inputs.raw_frames(spark, sf_dir))
-    placed = batching.place_frames(batching.frame_index(decoded), span=64).drop("frame_size")
-    frames = decode.accepted(decoded).join(placed, ["topic", "part_id", "src_offset"])
-    return batching.assign_bars(decode.explode_bars(frames), LIMIT).select(
-        _long("part_id"), "src_offset", _long("pos"), "batch_id", "is_final"
-    )
+    frames = decode.accepted(decode.decode(inputs.raw_frames(spark, sf_dir)))
+    bars = batching.batched_bars(decode.explode_bars(frames).select(
+        "topic", "part_id", "src_offset", "frame_size", "pos", "is_final"), LIMIT, span=64)
+    return bars.select(_long("part_id"), "src_offset", _long("pos"), "batch_id", "is_final")
 
 
 @query("batching_a1_batch_sizes", sql(

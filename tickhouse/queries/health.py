@@ -17,7 +17,7 @@ from tickhouse.queries import inputs
 from tickhouse.queries.inputs import sql
 from tickhouse.queries.registry import query
 from tickhouse.schemas import LOG_FIELDS
-from tickhouse.settings import FAILURE_EVENTS
+from tickhouse.settings import FAILURE_EVENTS, LIVE_READ_LIMITS
 
 FAILURES = ", ".join(f"'{name}'" for name in FAILURE_EVENTS)
 SECONDS = "'%Y-%m-%dT%H:%M:%SZ'"
@@ -120,15 +120,14 @@ LOG_CLASS_SQL = f"""SELECT * FROM (
       OR level IN ('WARN', 'ERROR') THEN 'extractor' END AS log_class FROM logs
   UNION ALL SELECT pipeline_id, seq, seen, CASE WHEN event = 'heartbeat' THEN 'loader_heartbeats'
       WHEN event IN ({FAILURES}) THEN 'loader_failures' ELSE 'loader_commits' END FROM health)
-  WHERE log_class IS NOT NULL AND seen >= TIMESTAMP '2024-01-10'"""
-SINCE = datetime(2024, 1, 10, tzinfo=timezone.utc)
+  WHERE log_class IS NOT NULL"""
 
 
 @query("journal_p8_log_class", sql(
     f"SELECT pipeline_id, seq, log_class, count(*) AS n FROM ({LOG_CLASS_SQL}) GROUP BY ALL", "logs", "health"))
 def log_classes(spark, sf_dir):
     """Which of the four bounded reads each entry belongs to."""
-    return journal.classify_logs(_all_entries(spark, sf_dir), F.lit(SINCE)).groupBy(
+    return journal.classify_logs(_all_entries(spark, sf_dir)).groupBy(
         "pipeline_id", "seq", "log_class"
     ).agg(F.count(F.lit(1)).alias("n"))
 
@@ -140,8 +139,8 @@ def log_classes(spark, sf_dir):
           WHEN 'loader_commits' THEN 100 ELSE 20 END""", "logs", "health"))
 def newest_logs(spark, sf_dir):
     """Newest 500/4/100/20 entries per pipeline and class."""
-    classified = journal.classify_logs(_all_entries(spark, sf_dir), F.lit(SINCE))
-    return journal.newest_per_class(classified).select("pipeline_id", "seq", "log_class")
+    classified = journal.classify_logs(_all_entries(spark, sf_dir))
+    return journal.newest_per_class(classified, LIVE_READ_LIMITS).select("pipeline_id", "seq", "log_class")
 
 
 # ---- extractor ------------------------------------------------------------------------------
@@ -325,7 +324,7 @@ def recent_commits(spark, sf_dir):
 
 
 @query("loader_a6_failures", sql(
-    f"""SELECT pipeline_id, CAST(count_if(event IN ({FAILURES})) AS BIGINT) AS failure_count, count_if(event IN ({FAILURES})) = 20 AS failure_count_is_capped,
+    f"""SELECT pipeline_id, CAST(count_if(event IN ({FAILURES})) AS BIGINT) AS failure_count, FALSE AS failure_count_is_capped,
           max(seen) FILTER (WHERE event IN ({FAILURES})) AS last_failure_at,
           'loader_' || replace(arg_max(event, (seen, seq)) FILTER (WHERE event IN ({FAILURES})), 'loader_', '') AS last_failure_code
         FROM health GROUP BY 1""", "health"))
@@ -575,33 +574,53 @@ def health_roll_up(spark, sf_dir):
 
 DOCUMENT_NOW = datetime(2024, 1, 30, 20, 30, tzinfo=timezone.utc)
 DOCUMENT_CTES = f"""
-w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_id, log_class ORDER BY seen DESC, seq DESC) AS rn
-        FROM ({LOG_CLASS_SQL}) WHERE seen >= TIMESTAMP '2024-01-29 08:30:00')
-      WHERE rn <= CASE log_class WHEN 'extractor' THEN 500 WHEN 'loader_heartbeats' THEN 4 WHEN 'loader_commits' THEN 100 ELSE 20 END),
-ex AS (SELECT logs.* FROM logs JOIN w ON w.seq = logs.seq AND log_class = 'extractor'),
-he AS (SELECT health.* FROM health JOIN w ON w.seq = health.seq AND log_class <> 'extractor'),
-e1 AS (SELECT pipeline_id, arg_max(message, (seen, seq)) FILTER (WHERE event_type IN ('view', 'signup')) AS lm FROM ex GROUP BY 1),
-h1 AS (SELECT pipeline_id, max(seen) FILTER (WHERE event = 'commit_succeeded') AS lc, count(*) FILTER (WHERE event = 'commit_succeeded') AS nc,
-         count(*) FILTER (WHERE event IN ({FAILURES})) AS nf FROM he GROUP BY 1),
-a1 AS (SELECT pipeline_id, count(*) AS na FROM (SELECT pipeline_id FROM ex WHERE event_type = 'error' UNION ALL
-         SELECT pipeline_id FROM he WHERE event IN ({FAILURES})) GROUP BY 1)"""
+e1 AS (SELECT pipeline_id, arg_max(message, (seen, seq)) FILTER (WHERE event_type IN ('view', 'signup')) AS lm FROM logs GROUP BY 1),
+h1 AS (SELECT pipeline_id, max(seen) FILTER (WHERE event = 'commit_succeeded') AS lc,
+         count(*) FILTER (WHERE event IN ({FAILURES})) AS nf FROM health GROUP BY 1),
+c1 AS (SELECT pipeline_id, string_agg(at_utc || '/' || coalesce(CAST(bars AS VARCHAR), '-') || '/' || CAST(duration_ms AS VARCHAR), ',' ORDER BY seen, seq) AS commits
+       FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_id ORDER BY seen DESC, seq DESC) AS rn FROM ({PAIR_SQL})) WHERE rn <= 48 GROUP BY 1),
+a1 AS (SELECT pipeline_id, string_agg(strftime(seen, {SECONDS}) || '/' || component || '/' || severity || '/' || code, ',' ORDER BY rn) AS alerts
+       FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_id ORDER BY date_trunc('second', seen) DESC, seq, component) AS rn
+             FROM {ALERT_UNION}) WHERE rn <= 20 GROUP BY 1)"""
+
+
+def _document_inputs(entries):
+    """A metadata document and a cost snapshot for every pipeline but one in seven."""
+    names = entries.select("pipeline_id").distinct()
+    size, some = F.length("pipeline_id"), F.crc32(F.col("pipeline_id").cast("binary")) % 7 > 0
+    metadata = names.filter(some).select("pipeline_id", F.format_string(
+        '{"current-snapshot-id":5,"snapshots":[{"snapshot-id":5,"timestamp-ms":86400000,"summary":'
+        '{"operation":"append","total-records":"%d","total-data-files":"4"}}],"metadata-log":[]}',
+        size * 100).alias("metadata"))
+    money = lambda n: (size * n).cast("string")
+    costs = names.filter(some).select(
+        "pipeline_id", F.lit("2024-01-30T06:07:00Z").alias("aggregated_at_utc"),
+        F.lit("2024-01-30T05:00:00Z").alias("source_exported_at_utc"), F.lit("USD").alias("currency"),
+        money(3).alias("seven_day_net_cost"), money(5).alias("month_to_date_net_cost"),
+        F.array(F.struct(F.lit("2024-01-30").alias("day_utc"), money(1).alias("net_cost"))).alias("daily_costs"),
+        F.array(F.struct(F.lit("Storage").alias("service_name"), money(2).alias("net_cost"))).alias("top_services"),
+    )
+    return metadata, costs
 
 
 @query("status_d1_documents", sql(
     f"""SELECT pipeline_id, 'market_open' AS market_state, '2024-01-31T14:30:00Z' AS next_open,
           CASE lm WHEN 'final metrics' THEN 'clean_shutdown' WHEN 'metrics' THEN 'observed' ELSE 'no_recent_session' END AS extractor_status,
-          strftime(lc, {SECONDS}) AS last_commit_utc, least(48, nc) AS recent_commits, nf AS failure_count, nf = 20 AS capped,
-          least(20, na) AS alerts, 'not_configured' AS table_reason
-        FROM h1 LEFT JOIN e1 USING (pipeline_id) LEFT JOIN a1 USING (pipeline_id)""", "logs", "health", more=DOCUMENT_CTES))
+          strftime(lc, {SECONDS}) AS last_commit_utc, coalesce(commits, '') AS recent_commits, nf AS failure_count, FALSE AS capped,
+          coalesce(alerts, '') AS alerts
+        FROM h1 LEFT JOIN e1 USING (pipeline_id) LEFT JOIN c1 USING (pipeline_id) LEFT JOIN a1 USING (pipeline_id)""",
+    "logs", "health", more=DOCUMENT_CTES))
 def documents(spark, sf_dir):
-    """Whole status documents, read back from their JSON text."""
+    """Whole status documents over every entry, read back from their JSON text."""
     texts = document_json(status_documents(_all_entries(spark, sf_dir), DOCUMENT_NOW))
 
     def at(path):
         return F.get_json_object("document", path)
 
-    def length(path):
-        return F.json_array_length(at(path)).cast("long")
+    def listed(path, kind, *names):
+        items = F.from_json(at(path), f"array<struct<{kind}>>")
+        return F.array_join(F.transform(items, lambda i: F.concat_ws(
+            "/", *[F.coalesce(i[n].cast("string"), F.lit("-")) for n in names])), ",")
 
     return texts.select(
         "pipeline_id",
@@ -609,11 +628,45 @@ def documents(spark, sf_dir):
         at("$.market.next_expected_open_utc").alias("next_open"),
         at("$.extractor.status").alias("extractor_status"),
         at("$.loader.last_commit_utc").alias("last_commit_utc"),
-        length("$.loader.recent_commits").alias("recent_commits"),
+        listed("$.loader.recent_commits", "at_utc:string,bars:bigint,duration_ms:bigint",
+               "at_utc", "bars", "duration_ms").alias("recent_commits"),
         at("$.loader.failure_count").cast("long").alias("failure_count"),
         at("$.loader.failure_count_is_capped").cast("boolean").alias("capped"),
-        length("$.alerts").alias("alerts"),
-        at("$.table.reason").alias("table_reason"),
+        listed("$.alerts", "at_utc:string,component:string,severity:string,code:string",
+               "at_utc", "component", "severity", "code").alias("alerts"),
+    )
+
+
+@query("status_d1_sections", sql(
+    """SELECT pipeline_id, 'unavailable' AS missing, 'available' AS status, length(pipeline_id) * 100 AS total_records,
+         '1970-01-02T00:00:00Z' AS committed, (length(pipeline_id) * 3)::DOUBLE AS seven_day, length(pipeline_id)::DOUBLE AS today,
+         'Storage' AS service FROM (SELECT DISTINCT pipeline_id FROM health)""", "health"))
+def document_sections(spark, sf_dir):
+    """Table and cost sections of the documents, given for some pipelines and absent for others."""
+    entries = _all_entries(spark, sf_dir)
+    metadata, costs = _document_inputs(entries)
+    size = F.length("pipeline_id")
+    texts = document_json(status_documents(entries, DOCUMENT_NOW, None, metadata, costs))
+
+    def at(path):
+        return F.get_json_object("document", path)
+
+    given = F.crc32(F.col("pipeline_id").cast("binary")) % 7 > 0
+
+    def held(path, kind, absent):
+        """The value where the section was given; what must stand for it where it was not."""
+        return F.when(given, at(path).cast(kind)).when(at(path).isNull(), absent)
+
+    reason = F.when(~given, F.concat_ws("/", at("$.table.reason"), at("$.costs.reason")))
+    absent = F.when(given | (reason == "not_configured/not_configured"), "unavailable")
+    return texts.select(
+        "pipeline_id", absent.alias("missing"),
+        F.when(given == (at("$.table.status") == "available"), "available").alias("status"),
+        held("$.table.total_records", "bigint", size.cast("bigint") * 100).alias("total_records"),
+        held("$.table.current_snapshot_commit_utc", "string", F.lit("1970-01-02T00:00:00Z")).alias("committed"),
+        held("$.costs.seven_day_net_cost", "double", size * F.lit(3.0)).alias("seven_day"),
+        held("$.costs.today_net_cost", "double", size.cast("double")).alias("today"),
+        held("$.costs.top_services[0].service_name", "string", F.lit("Storage")).alias("service"),
     )
 
 

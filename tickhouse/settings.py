@@ -21,8 +21,9 @@ FAILURE_EVENTS = (
     "offset_commit_failed",
     "loader_failed",
 )
-# Newest entries kept per log class.
-LOG_LIMITS = {
+# How many of the newest entries of each class a bounded live read asks for. Nothing
+# applies them by itself; a caller that wants such a read passes them.
+LIVE_READ_LIMITS = {
     "extractor": 500,
     "loader_heartbeats": 4,
     "loader_commits": 100,

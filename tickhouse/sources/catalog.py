@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickhouse.session import qualified_table
+from tickhouse.session import dotted_name
 
 CATALOG_TYPES = ("hadoop", "jdbc", "rest")
 # Public class names of the table format and the object-store connector.
@@ -42,7 +42,7 @@ class CatalogSettings:
 
     @property
     def identifier(self) -> str:
-        return qualified_table(self.name, self.namespace, self.table)
+        return dotted_name(self.name, self.namespace, self.table)
 
 
 def catalog_conf(settings: CatalogSettings) -> dict[str, str]:
@@ -86,7 +86,7 @@ def catalog_conf(settings: CatalogSettings) -> dict[str, str]:
 def ensure_table(spark: SparkSession, catalog: str, namespace: str, table: str,
                  provider: str = "parquet") -> str:
     """Create namespace and bar table when absent; returns the qualified name."""
-    name = qualified_table(catalog, namespace, table)
+    name = dotted_name(catalog, namespace, table)
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {catalog}.{namespace}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({BAR_TABLE_DDL}) USING {provider}")
     return name
@@ -99,7 +99,7 @@ def append_bars(bars: DataFrame, table: str) -> None:
 
 def describe_namespace(spark: SparkSession, catalog: str, namespace: str) -> DataFrame:
     """Tables of a namespace; an absent namespace is reported as such."""
-    qualified = qualified_table(catalog, namespace, "t").rsplit(".", 1)[0]
+    qualified = dotted_name(catalog, namespace, "t").rsplit(".", 1)[0]
     try:
         return spark.sql(f"SHOW TABLES IN {qualified}").filter("NOT isTemporary")
     except AnalysisException as error:
@@ -115,7 +115,7 @@ def describe_table(spark: SparkSession, table: str) -> DataFrame:
 def register_location(spark: SparkSession, catalog: str, namespace: str, table: str,
                       location: str) -> str:
     """Register existing Parquet data under a new name without rewriting it."""
-    name = qualified_table(catalog, namespace, table)
+    name = dotted_name(catalog, namespace, table)
     if "'" in location:
         raise ValueError("invalid location")
     _refuse_existing(spark, name)
@@ -127,7 +127,7 @@ def register_location(spark: SparkSession, catalog: str, namespace: str, table:
 def register_metadata(spark: SparkSession, catalog: str, namespace: str, table: str,
                       metadata_file: str) -> str:
     """Register an Iceberg table from its current metadata document. Needs the Iceberg runtime."""
-    name = qualified_table(catalog, namespace, table)
+    name = dotted_name(catalog, namespace, table)
     if "'" in metadata_file:
         raise ValueError("invalid metadata file")
     _refuse_existing(spark, name)

@@ -9,56 +9,61 @@ from pyspark.sql import functions as F
 
 HINT_FILE = "version-hint.text"
 VERSION = r"[1-9][0-9]*"
-READ = "table_id string, metadata_version string, metadata string, reason string"
 
 
 def read_current_metadata(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
     """``table_id, metadata_version, metadata, reason`` for a metadata folder per table.
 
-    One hint line per listed table comes to the driver; the documents stay on the executors. A
-    missing or malformed hint gives ``read_failed`` and its document is never opened.
+    A scan needs its file names when it is planned, so one hint line per listed table comes to the
+    driver; the documents stay on the executors. A table whose folder, hint or document is absent,
+    or whose hint is malformed, is ``read_failed`` by itself and no other document of it is opened.
     """
-    by_folder = {folder.rstrip("/"): table for table, folder in folders.items()}
-    hints = _texts(spark, list(by_folder), HINT_FILE)
-    versions = {
-        by_folder[_known(by_folder, row["folder"])]: row["text"].strip() for row in hints.collect()
+    tables = {_bare(folder.rstrip("/")): table for table, folder in folders.items()}
+    hints = _texts(spark, [f"{f.rstrip('/')}/{HINT_FILE}" for f in folders.values()])
+    versions = {} if hints is None else {
+        tables[_bare(row["folder"])]: row["text"].strip()
+        for row in hints.select("folder", "text").collect()
+    }
+    wanted = {
+        table: f"{folder.rstrip('/')}/v{versions[table]}.metadata.json"
+        for table, folder in folders.items() if re.fullmatch(VERSION, versions.get(table, ""))
     }
-    good = {t: v for t, v in versions.items() if re.fullmatch(VERSION, v)}
-    failed = [(t, None, None, "read_failed") for t in folders if t not in good]
-    rows = spark.createDataFrame(failed, READ)
-    if not good:
-        return rows
-    wanted = {f: good[t] for f, t in by_folder.items() if t in good}
-    names = sorted({f"v{version}.metadata.json" for version in wanted.values()})
-    glob = "{" + ",".join(names) + "}" if len(names) > 1 else names[0]
-    found = _texts(spark, list(wanted), glob)
     keys = spark.createDataFrame(
-        [(by_folder[f], f"{_bare(f)}/v{v}.metadata.json", v) for f, v in wanted.items()],
-        "table_id string, document_path string, metadata_version string",
+        [(t, versions[t] if t in wanted else None, _bare(wanted[t]) if t in wanted else None)
+         for t in folders],
+        "table_id string, metadata_version string, document_path string",
+    )
+    documents = _texts(spark, list(wanted.values()))
+    if documents is None:
+        read = keys.withColumn("metadata", F.lit(None).cast("string"))
+    else:
+        bare = F.regexp_replace("path", "^[a-z0-9]+:/+", "/")
+        found = documents.select(bare.alias("document_path"), F.col("text").alias("metadata"))
+        read = keys.join(found, "document_path", "left")
+    failed = F.when(F.col("metadata").isNull(), "read_failed")
+    return read.select(
+        "table_id", F.when(F.col("metadata").isNotNull(), F.col("metadata_version"))
+        .alias("metadata_version"), "metadata", failed.alias("reason"),
     )
-    path = F.regexp_replace("path", "^[a-z0-9]+:/+", "/")
-    read = keys.join(found.select(path.alias("document_path"), "text"), "document_path", "left")
-    return rows.unionByName(read.select(
-        "table_id", "metadata_version", F.col("text").alias("metadata"),
-        F.when(F.col("text").isNull(), "read_failed").alias("reason"),
-    ))
 
 
-def _texts(spark: SparkSession, folders: list[str], glob: str) -> DataFrame:
-    path = F.col("_metadata.file_path")
-    return (
-        spark.read.text(folders, wholetext=True, pathGlobFilter=glob)
-        .select(
-            path.alias("path"),
-            F.regexp_replace(path, "/[^/]*$", "").alias("folder"),
-            F.col("value").alias("text"),
-        )
-    )
+def _present(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def _bare(folder: str) -> str:
-    return re.sub(r"^[a-z0-9]+:/+", "/", folder)
+def _texts(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    """Whole texts of the files that exist; None if none does."""
+    found = [path for path in paths if _present(spark, path)]
+    if not found:
+        return None
+    path = F.col("_metadata.file_path")
+    return spark.read.text(found, wholetext=True).select(
+        path.alias("path"),
+        F.regexp_replace(path, "/[^/]*$", "").alias("folder"),
+        F.col("value").alias("text"),
+    )
 
 
-def _known(by_folder: dict[str, str], found: str) -> str:
-    return next(folder for folder in by_folder if _bare(folder) == _bare(found))
+def _bare(path: str) -> str:
+    return re.sub(r"^[a-z0-9]+:/+", "/", path)

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickhouse.session import RECEIPT_OBJECT
+
 
 def write_documents(documents: DataFrame, path: str) -> None:
     """One JSON document per pipeline, in a folder named after it."""
@@ -39,14 +42,20 @@ def snapshot_text(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def write_receipt(spark: SparkSession, path: str, receipt: dict[str, Any]) -> None:
-    """Replace a receipt and read it back; a receipt that cannot be read is an error."""
-    if not path.endswith(".json"):
-        raise ValueError("receipt path must end in .json")
+def write_receipt(spark: SparkSession, path: str, receipt: dict[str, Any]) -> dict[str, Any]:
+    """Replace a receipt, one JSON object in one file, and read it back."""
+    if not path.endswith(".json") or (path.startswith("gs:") and not re.match(RECEIPT_OBJECT, path)):
+        raise ValueError(f"not a place for a receipt: {path!r}")
     text = json.dumps(receipt, sort_keys=True)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
     if read_receipt(spark, path) != json.loads(text):
         raise RuntimeError("receipt read-back differs")
+    return receipt
 
 
 def read_receipt(spark: SparkSession, path: str) -> dict[str, Any]:

@@ -36,7 +36,6 @@ class IngestPaths:
 
     bars: str
     quarantine: str
-    offsets: str
     ledger: str
     checkpoint: str
 
@@ -64,13 +63,19 @@ def land_frames(frames: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 class BatchWriter:
     """The ``foreachBatch`` body of an ingest query.
 
-    With ``table`` bars are appended to that catalog table instead of the bars folder. Such an
-    append is atomic but not replaced by a replay; the read views resolve the copies.
+    With ``table`` bars are appended to that catalog table instead of the bars folder. The append is
+    atomic, and the ledger notes it before Spark records the offsets: a replayed batch that the
+    ledger already has is not appended again. (A crash between append and ledger row leaves one
+    batch to be appended twice; the read views resolve its copies.)
+
+    ``rebalance`` gathers the rows of a date before writing. A backfill wants it (else it writes a
+    file per task and date); a live batch of one date does not need the exchange.
     """
 
     def __init__(self, paths: IngestPaths, query_id: str, strict: bool = False,
                  max_bars_per_file: int | None = None, table: str | None = None,
-                 clock: Callable[[], datetime] = utc_now):
+                 clock: Callable[[], datetime] = utc_now, rebalance: bool = False):
+        self.rebalance = rebalance
         self.paths = paths
         self.query_id = query_id
         self.strict = strict
@@ -85,12 +90,13 @@ class BatchWriter:
         started = self.clock()
         failure = "loader_failed"
         counts: dict[str, int] = {}
+        if self.table and self._is_committed(frames.sparkSession, batch_id):
+            return
         try:
             self._log(frames.sparkSession, batch_id, COMMIT_STARTED, started, started, {})
             failure = "data_file_write_failed"
             counts = self._write_bars(frames, batch_id, started)
             failure = "offset_commit_failed"
-            self._write_offsets(frames, batch_id)
             self._log(frames.sparkSession, batch_id, COMMIT_SUCCEEDED, started, self.clock(), counts)
         except Exception as error:
             if failure == "data_file_write_failed" and self.table:
@@ -117,6 +123,8 @@ class BatchWriter:
         rows = stored_bars(explode_bars(accepted(observed)), F.lit(started)).withColumn(
             "event_date", F.to_date("event_ts")
         ).observe(written, F.count(F.lit(1)).alias("inserted"))
+        if self.rebalance:
+            rows = rows.hint("rebalance", "event_date")
         if self.table:
             append_bars(rows, self.table)
         else:
@@ -132,11 +140,10 @@ class BatchWriter:
             )
         return counts
 
-    def _write_offsets(self, frames: DataFrame, batch_id: int) -> None:
-        """One past the newest source record of each partition; reads no payload."""
-        frames.groupBy("topic", "part_id").agg(
-            (F.max("src_offset") + 1).alias("commit_offset")
-        ).write.mode("overwrite").parquet(self.folder(self.paths.offsets, batch_id))
+    def _is_committed(self, spark: SparkSession, batch_id: int) -> bool:
+        place = spark._jvm.org.apache.hadoop.fs.Path(
+            f"{self.folder(self.paths.ledger, batch_id)}/step=finished/_SUCCESS")
+        return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
     def _log(self, spark: SparkSession, batch_id: int, event: str, started: datetime,
              finished: datetime, counts: dict[str, int]) -> None:
