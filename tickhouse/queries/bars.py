@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickhouse.functions.bars import (
@@ -345,23 +344,32 @@ def bounded_bars_text(spark, sf_dir):
 
 
 @query("ingest_a19_reconcile", sql(
-    f"""SELECT 'p' || CAST(part_id AS VARCHAR) AS query_id, place // {LIMIT} AS batch_id, CAST(count(*) AS BIGINT) AS received,
-        CAST(count(*) AS BIGINT) AS inserted, TRUE AS balanced FROM placed GROUP BY 1, 2""", "placed"))
+    """SELECT 'p' || CAST(part_id AS VARCHAR) AS query_id, src_offset // 25 AS batch_id, CAST(sum(n) AS BIGINT) AS received,
+        CAST(sum(CASE src_offset % 40 WHEN 7 THEN n - 1 WHEN 9 THEN 2 * n ELSE n END) AS BIGINT) AS inserted,
+        sum(n) = sum(CASE src_offset % 40 WHEN 7 THEN n - 1 WHEN 9 THEN 2 * n ELSE n END) AS balanced
+       FROM (SELECT part_id, src_offset, count(*) AS n FROM bars WHERE src_offset % 50 <> 0 GROUP BY 1, 2) GROUP BY 1, 2""", "bars"))
 def reconciled(spark, sf_dir):
-    """Received against inserted bars per batch."""
-    placed = batching.place_frames(inputs.sized_frames(spark, sf_dir))
-    received = batching.batch_summary(placed, LIMIT).select("part_id", "batch_id", "bars")
-    bars = inputs.bars(spark, sf_dir).select("topic", "part_id", "src_offset", "pos", "symbol")
-    first = placed.select("topic", "part_id", "src_offset", "first_bar")
-    frame = Window.partitionBy("topic", "part_id", "src_offset").orderBy("pos")
-    inserted = bars.withColumn("pos", F.row_number().over(frame) - 1).join(
-        first, ["topic", "part_id", "src_offset"]
-    )
-    written = batching.assign_bars(inserted, LIMIT).groupBy("part_id", "batch_id").agg(
-        F.count(F.lit(1)).alias("inserted")
-    )
-    ledger = received.join(written, ["part_id", "batch_id"], "left").select(
+    """Received against inserted bars per batch, where some frames were refused, some stored rows
+    were lost and some frames were stored twice (A19)."""
+    frames = inputs.raw_frames(spark, sf_dir).withColumn("raw", F.when(
+        F.col("src_offset") % 50 == 0, F.concat("raw", F.lit("x"))).otherwise(F.col("raw")))
+    batch = F.call_function("div", F.col("src_offset"), F.lit(25)).alias("batch_id")
+    passed = decode.accepted(decode.decode(frames))
+    ledger = passed.groupBy("part_id", batch).agg(F.sum(F.size("bars")).alias("bars"))
+    rows = decode.stored_bars(decode.explode_bars(passed), F.lit(datetime(2024, 2, 1, tzinfo=timezone.utc)))
+    kind = F.col("src_offset") % 40
+    stored = rows.filter(~((kind == 7) & (F.col("pos") == 0))).unionByName(rows.filter(kind == 9))
+    inserted = stored.groupBy("part_id", batch).agg(F.count(F.lit(1)).alias("inserted"))
+    return reconcile(ledger.join(inserted, ["part_id", "batch_id"], "left").select(
         F.concat(F.lit("p"), F.col("part_id").cast("string")).alias("query_id"),
         "batch_id", "bars", F.coalesce("inserted", F.lit(0)).alias("inserted"),
-    )
-    return reconcile(ledger)
+    ))
+
+
+@query("views_u4_uniqueness", sql(
+    f"""SELECT count(*) AS row_count, count(DISTINCT id) AS distinct_count, count(*) = count(DISTINCT id) AS is_unique
+        FROM (SELECT symbol || '|' || event_time_text AS id FROM {REPLAY_SQL})""", "bars"))
+def stored_uniqueness(spark, sf_dir):
+    """Are the event ids of stored bars unique while replays are in the table? (U4)"""
+    stored = _delivered(spark, sf_dir).withColumn("id", event_id(F.col("symbol"), F.col("event_ts")))
+    return readviews.uniqueness(stored, "id")
