@@ -24,6 +24,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickhouse.functions.lets import once
 from tickhouse.llm.common import numbered, saved
 
 SHINGLE = 5
@@ -82,9 +83,9 @@ def shingles_of(words: Column) -> Column:
 
 
 def signature(shingles: Column, bands: int) -> Column:
-    hashes = F.transform(shingles, lambda s: F.xxhash64(s))
-    return F.transform(F.sequence(F.lit(1), F.lit(bands)),
-                       lambda band: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, band))))
+    return once(F.transform(shingles, lambda s: F.xxhash64(s)), lambda hashes: F.transform(
+        F.sequence(F.lit(1), F.lit(bands)),
+        lambda band: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, band)))))
 
 
 def template_table(spark: SparkSession, templates, bands: int) -> DataFrame:
