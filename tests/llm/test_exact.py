@@ -301,7 +301,8 @@ def test_op8(spark, documents, texts):
         for _ in range(rnd.randint(0, 4)):
             line[rnd.randrange(80)] = rnd.choice(words)
         data.append((1000 + k, " ".join(line) + "\nshort one\n" + " ".join(rnd.choices(words, k=7))))
-    data += [(2000, " ".join(words * 3) + " end"), (2001, " ".join(words * 3) + " ends")]
+    long = " ".join(words * 60)  # over one segment of counters
+    data += [(2000, long + " end"), (2001, long + " ends")]
     got = linededup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string").repartition(3))
     want = brute_lines(data)
     for r in got.collect():

@@ -2,7 +2,8 @@
 
 Every step is a map-side combined minimum and a join; no neighbour list is collected. Edges are
 written to the checkpoint folder after each round, and the number of rounds grows with the logarithm
-of the number of nodes.
+of the number of nodes. Each round counts its edges: while they are few, the minima are broadcast
+and the next round reads them in few tasks.
 """
 
 from __future__ import annotations
@@ -10,19 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickhouse.llm.common import saved
+from tickhouse.llm.common import BROADCAST_ROWS, saved
 
+#: Edges that one task reads at the start of a round.
+TASK_EDGES = 100_000
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def _large_star(edges: DataFrame, few: bool) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = F.broadcast(least) if few else least
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, few: bool) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = down.join(F.broadcast(least) if few else least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
@@ -42,7 +47,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     current = saved(edges.where("a <> b").select("a", "b").distinct())
     before = _state(current)
     while before[0]:
-        current = saved(_small_star(_large_star(current)))
+        few = 2 * before[0] <= BROADCAST_ROWS
+        current = current.coalesce(1 + before[0] // TASK_EDGES)
+        current = saved(_small_star(_large_star(current, few), few))
         after = _state(current)
         if after == before:
             break
