@@ -186,7 +186,7 @@ def test_bins_and_files(spark, table):
     files = catalog.data_files(compaction.read_days(spark, table), "bars")
     assert files.count() == 24 and files.agg(F.sum("record_count")).first()[0] == 2000
     report = tables.file_report(files, 1 << 20).first()
-    assert report["small_files"] == 12 and report["average_rows_per_data_file"] == 166.67
+    assert report["small_files"] == 24 and report["average_rows_per_data_file"] == 83.33
     sized = spark.createDataFrame([("t", f"f{i}", 40, 1) for i in range(10)],
                                   "table_id string, file_path string, file_size long, record_count long")
     found = tables.bins(tables.bin_plan(sized, 100)).orderBy("bin_id").collect()
