@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickhouse.llm import (
+    covertree,
     decontamination,
     licenses,
     linededup,
+    merkle,
     packing,
+    periodicruns,
     quality,
     secrets,
     simhash,
@@ -169,3 +172,111 @@ def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixdedup.digest(suffixdedup.remove_repeats(documents))
+
+
+@query("op11_cover_tree", sql="""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+u AS (
+  SELECT r, vec_id, label, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND list_dot_product(e, e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) >= 0.98),
+reach AS (SELECT r AS a, r AS b FROM v UNION SELECT reach.a, p.b FROM reach JOIN p ON p.a = reach.b),
+c AS (SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY 1),
+n AS (SELECT a AS r, count(*) AS n_links FROM p GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id,
+       vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN c USING (r) LEFT JOIN n USING (r)
+""")
+def op11_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    changed = documents.select(
+        "doc_id", periodicruns.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    return periodicruns.digest(periodicruns.periodic_runs(changed))
+
+
+@query("op13_merkle_manifest", sql=r"""
+WITH RECURSIVE
+crc_step AS (
+  SELECT range AS i, 0 AS k, range::BIGINT AS c FROM range(256)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_step WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_step WHERE k = 8),
+base AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS key,
+         coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-')
+         || coalesce(octet_length(encode(source)) || ':' || source, '-')
+         || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+         coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS size,
+         coalesce(octet_length(encode((n_chars + 1)::VARCHAR)) || ':' || (n_chars + 1), '-') AS false_size,
+         coalesce(octet_length(encode(text)) || ':' || text, '-') AS body,
+         xor(4294967295, list_reduce(
+           list_concat([4294967295], list_transform(range(1, length(doc_id::VARCHAR) + 1),
+                                                    lambda k: ascii(doc_id::VARCHAR[k])::BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS code
+  FROM documents, crc_table),
+leaves AS (
+  SELECT doc_id, key, sha256(head || size || body) AS leaf,
+         CASE WHEN code % 7 = 0 THEN sha256(head || false_size || body) ELSE sha256(head || size || body) END AS claimed
+  FROM base),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS at,
+         count(*) OVER (PARTITION BY key) AS n FROM leaves),
+low AS (
+  SELECT key, 0 AS level, at, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT DISTINCT key, level + 1, at // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY at) OVER (
+           PARTITION BY key, at // 2 ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  FROM low WHERE n > 1),
+subroots AS (SELECT key, digest AS subroot, row_number() OVER (ORDER BY key) - 1 AS at, count(*) OVER () AS n
+             FROM low WHERE n = 1),
+top AS (
+  SELECT 0 AS level, at, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT DISTINCT level + 1, at // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY at) OVER (
+           PARTITION BY at // 2 ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  FROM top WHERE n > 1),
+steps AS (
+  SELECT p.key, p.at, c.level, c.at & 1 AS side, s.digest AS sibling
+  FROM placed p JOIN low c ON c.key = p.key AND c.at = p.at >> c.level AND c.n > 1
+  LEFT JOIN low s ON s.key = c.key AND s.level = c.level AND s.at = xor(c.at, 1)
+  UNION ALL
+  SELECT p.key, p.at, 100 + c.level, c.at & 1, s.digest
+  FROM placed p JOIN subroots r ON r.key = p.key JOIN top c ON c.at = r.at >> c.level AND c.n > 1
+  LEFT JOIN top s ON s.level = c.level AND s.at = xor(c.at, 1)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY key, at ORDER BY level) AS k FROM steps),
+proofs AS (SELECT key, at, sha256(coalesce(string_agg(sibling, '' ORDER BY k), '')) AS proof_sha256
+           FROM numbered GROUP BY key, at),
+folding AS (
+  SELECT key, at, 0::BIGINT AS k, claimed AS digest FROM placed
+  UNION ALL
+  SELECT f.key, f.at, f.k + 1, sha256(CASE WHEN s.side = 1 THEN coalesce(s.sibling, '') || f.digest
+                                           ELSE f.digest || coalesce(s.sibling, '') END)
+  FROM folding f JOIN numbered s ON s.key = f.key AND s.at = f.at AND s.k = f.k + 1),
+ends AS (SELECT key, at, arg_max(digest, k) AS folded_root FROM folding GROUP BY key, at)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM top WHERE n = 1) AS root,
+       coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+       folded_root = (SELECT digest FROM top WHERE n = 1) AS verified
+FROM placed JOIN subroots USING (key) JOIN ends ON ends.key = placed.key AND ends.at = placed.at
+LEFT JOIN proofs ON proofs.key = placed.key AND proofs.at = placed.at
+""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    fields = [F.col(name) for name in merkle.FIELDS]
+    false_size = [F.col(n).cast("decimal(38,0)") + 1 if n == "n_chars" else F.col(n) for n in merkle.FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    rows = merkle.manifest(
+        documents, merkle.leaf_digest(*fields), claimed=F.when(tampered, merkle.leaf_digest(*false_size)))
+    found = merkle.folded(F.coalesce("claimed", "leaf"), F.col("path"))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(F.concat_ws("", merkle.siblings_of(F.col("path"))), 256).alias("proof_sha256"),
+        found.alias("folded_root"), (found == F.col("root")).alias("verified"))
