@@ -92,8 +92,7 @@ def test_periodic_runs_equal_brute_force(spark):
     data += [(100 + i, "a b c " * i + "x y\nz " * (i % 7) + "a b c " * 5, None, None, None) for i in range(60)]
     data += [(None, "w " * 9, None, None, None), (100, "a", None, None, None), (100, "a", None, None, None)]
     docs = frame(spark, data, extra=True)
-    docs = docs.withColumn("text", periodicruns.planted(docs.text, docs.doc_id))
-    got = periodicruns.digest(periodicruns.periodic_runs(docs))
+    got = periodicruns.digest(periodicruns.periodic_runs(periodicruns.planted(docs)))
     assert run_rows(got) == sorted((brute_row(r[0], r[1]) for r in data), key=repr)
     assert sum(r[1] > 0 for r in run_rows(got)) > 20
     assert periodicruns.periodic_runs(frame(spark, [])).collect() == []

@@ -174,16 +174,21 @@ def strongest(runs: Column) -> Column:
     )
 
 
-def planted(text: Column, doc_id: Column) -> Column:
-    """The text of the query's contract: a tenth of the documents become periodic from some word on."""
-    code = F.crc32(doc_id.cast("string"))
-    words = F.filter(F.split(text, WORD_GAP), lambda w: w != "")
-    size, seed = F.size(words).cast("long"), F.floor(code / 10)
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text`` by the query's contract: a tenth of the texts repeat themselves from some word on."""
+    code, size = F.crc32(F.col("doc_id").cast("string")), F.size("words")
+    seed = F.floor(code / 10)
     begin = F.pmod(seed, F.greatest(size, F.lit(1)))
-    period = F.floor((size - begin) / (3 + seed % 8)) + 1
-    changed = F.transform(words, lambda w, i: F.when(i < begin, w).otherwise(
-        F.get(words, (begin + F.pmod(i - begin, period)).cast("int"))))
-    return F.when(code % 10 == 0, F.array_join(changed, " ")).otherwise(text)
+    words = F.when(code % 10 == 0, F.filter(F.split("text", WORD_GAP), lambda w: w != ""))
+    steps = docs.select("doc_id", "text", words.alias("words")).select(
+        "doc_id", "text", "words", begin.cast("int").alias("begin"),
+        (F.floor((size - begin) / (3 + seed % 8)) + 1).cast("int").alias("period"))
+    rest = F.size("words") - F.col("begin")
+    unit = F.slice("words", F.col("begin") + 1, F.col("period"))
+    again = F.array_repeat(unit, F.ceil(rest / F.col("period")).cast("int"))
+    changed = F.concat(F.slice("words", F.lit(1), F.col("begin")), F.slice(F.flatten(again), F.lit(1), rest))
+    return steps.select("doc_id", F.when(F.size("words") > 0, F.array_join(changed, " "))
+                        .otherwise(F.col("text")).alias("text"))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -197,9 +197,7 @@ def op11_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op12_periodic_runs")
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    changed = documents.select(
-        "doc_id", periodicruns.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    changed = periodicruns.planted(table(spark, sf_dir, "documents"))
     return periodicruns.digest(periodicruns.periodic_runs(changed))
 
 
@@ -220,7 +218,7 @@ base AS (
          coalesce(octet_length(encode(text)) || ':' || text, '-') AS body,
          xor(4294967295, list_reduce(
            list_concat([4294967295], list_transform(range(1, length(doc_id::VARCHAR) + 1),
-                                                    lambda k: ascii(doc_id::VARCHAR[k])::BIGINT)),
+                                                    lambda k: ascii((doc_id::VARCHAR)[k])::BIGINT)),
            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS code
   FROM documents, crc_table),
 leaves AS (
@@ -228,45 +226,45 @@ leaves AS (
          CASE WHEN code % 7 = 0 THEN sha256(head || false_size || body) ELSE sha256(head || size || body) END AS claimed
   FROM base),
 placed AS (
-  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS at,
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS pos,
          count(*) OVER (PARTITION BY key) AS n FROM leaves),
 low AS (
-  SELECT key, 0 AS level, at, n, leaf AS digest FROM placed
+  SELECT key, 0 AS level, pos, n, leaf AS digest FROM placed
   UNION ALL
-  SELECT DISTINCT key, level + 1, at // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY at) OVER (
-           PARTITION BY key, at // 2 ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  SELECT DISTINCT key, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos) OVER (
+           PARTITION BY key, pos // 2 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
   FROM low WHERE n > 1),
-subroots AS (SELECT key, digest AS subroot, row_number() OVER (ORDER BY key) - 1 AS at, count(*) OVER () AS n
+subroots AS (SELECT key, digest AS subroot, row_number() OVER (ORDER BY key) - 1 AS pos, count(*) OVER () AS n
              FROM low WHERE n = 1),
 top AS (
-  SELECT 0 AS level, at, n, subroot AS digest FROM subroots
+  SELECT 0 AS level, pos, n, subroot AS digest FROM subroots
   UNION ALL
-  SELECT DISTINCT level + 1, at // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY at) OVER (
-           PARTITION BY at // 2 ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  SELECT DISTINCT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos) OVER (
+           PARTITION BY pos // 2 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
   FROM top WHERE n > 1),
 steps AS (
-  SELECT p.key, p.at, c.level, c.at & 1 AS side, s.digest AS sibling
-  FROM placed p JOIN low c ON c.key = p.key AND c.at = p.at >> c.level AND c.n > 1
-  LEFT JOIN low s ON s.key = c.key AND s.level = c.level AND s.at = xor(c.at, 1)
+  SELECT p.key, p.pos, c.level, c.pos & 1 AS side, s.digest AS sibling
+  FROM placed p JOIN low c ON c.key = p.key AND c.pos = p.pos >> c.level AND c.n > 1
+  LEFT JOIN low s ON s.key = c.key AND s.level = c.level AND s.pos = xor(c.pos, 1)
   UNION ALL
-  SELECT p.key, p.at, 100 + c.level, c.at & 1, s.digest
-  FROM placed p JOIN subroots r ON r.key = p.key JOIN top c ON c.at = r.at >> c.level AND c.n > 1
-  LEFT JOIN top s ON s.level = c.level AND s.at = xor(c.at, 1)),
-numbered AS (SELECT *, row_number() OVER (PARTITION BY key, at ORDER BY level) AS k FROM steps),
-proofs AS (SELECT key, at, sha256(coalesce(string_agg(sibling, '' ORDER BY k), '')) AS proof_sha256
-           FROM numbered GROUP BY key, at),
+  SELECT p.key, p.pos, 100 + c.level, c.pos & 1, s.digest
+  FROM placed p JOIN subroots r ON r.key = p.key JOIN top c ON c.pos = r.pos >> c.level AND c.n > 1
+  LEFT JOIN top s ON s.level = c.level AND s.pos = xor(c.pos, 1)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY key, pos ORDER BY level) AS k FROM steps),
+proofs AS (SELECT key, pos, sha256(coalesce(string_agg(sibling, '' ORDER BY k), '')) AS proof_sha256
+           FROM numbered GROUP BY key, pos),
 folding AS (
-  SELECT key, at, 0::BIGINT AS k, claimed AS digest FROM placed
+  SELECT key, pos, 0::BIGINT AS k, claimed AS digest FROM placed
   UNION ALL
-  SELECT f.key, f.at, f.k + 1, sha256(CASE WHEN s.side = 1 THEN coalesce(s.sibling, '') || f.digest
+  SELECT f.key, f.pos, f.k + 1, sha256(CASE WHEN s.side = 1 THEN coalesce(s.sibling, '') || f.digest
                                            ELSE f.digest || coalesce(s.sibling, '') END)
-  FROM folding f JOIN numbered s ON s.key = f.key AND s.at = f.at AND s.k = f.k + 1),
-ends AS (SELECT key, at, arg_max(digest, k) AS folded_root FROM folding GROUP BY key, at)
+  FROM folding f JOIN numbered s ON s.key = f.key AND s.pos = f.pos AND s.k = f.k + 1),
+ends AS (SELECT key, pos, arg_max(digest, k) AS folded_root FROM folding GROUP BY key, pos)
 SELECT doc_id, leaf, subroot, (SELECT digest FROM top WHERE n = 1) AS root,
        coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
        folded_root = (SELECT digest FROM top WHERE n = 1) AS verified
-FROM placed JOIN subroots USING (key) JOIN ends ON ends.key = placed.key AND ends.at = placed.at
-LEFT JOIN proofs ON proofs.key = placed.key AND proofs.at = placed.at
+FROM placed JOIN subroots USING (key) JOIN ends ON ends.key = placed.key AND ends.pos = placed.pos
+LEFT JOIN proofs ON proofs.key = placed.key AND proofs.pos = placed.pos
 """)
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
