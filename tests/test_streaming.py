@@ -7,13 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import test_frames
-import test_loader
 from tickhouse.operators import decode, loader, readviews
 from tickhouse.operators.tables import reconcile
 from tickhouse.schemas import FRAME
 from tickhouse.sources import catalog
 from tickhouse.sources.frames import read_landed, stream_landed
-from tickhouse.streaming import heartbeat, ingest, views
+from tickhouse.streaming import ingest, views
 
 NOW = datetime(2026, 1, 2, 15, tzinfo=timezone.utc)
 
@@ -143,7 +142,7 @@ def test_streaming_dedup(spark, tmp_path):
         assert sorted(r["payload_hash"] for r in got) == ["h1", "h2", "h3"]
 
 
-def test_streaming_sessions_and_counters(spark, tmp_path):
+def test_streaming_sessions(spark, tmp_path):
     at = [NOW, NOW + timedelta(minutes=5), NOW + timedelta(minutes=30), NOW + timedelta(hours=3)]
     folder, schema = str(tmp_path / "f"), "component string, at timestamp, received_at timestamp, kind string"
     spark.createDataFrame([("c", t, t, "received") for t in at], schema).coalesce(1).write.parquet(folder)
@@ -151,22 +150,5 @@ def test_streaming_sessions_and_counters(spark, tmp_path):
     closed = collect_stream(spark, views.stream_sessions(stream), "sessions")
     assert sorted((r["frames"], r["idle_at"]) for r in closed) == [
         (1, at[2].replace(tzinfo=None) + timedelta(minutes=10)), (2, at[1].replace(tzinfo=None) + timedelta(minutes=10))]
-    counted = collect_stream(spark, views.stream_counters(stream, 3600), "counted")
-    assert [(r["messages_received"], r["errors"]) for r in counted] == [(3, 0)]
     with pytest.raises(ValueError):
         views.stream_sessions(stream, 0)
-
-
-def test_streaming_health_equals_the_batch_form(spark, tmp_path):
-    samples = [test_loader.sample("t", m, [(0, m // 30, m // 10)], bars=m % 2) for m in range(0, 120, 5)]
-    folder = str(tmp_path / "s")
-    schema = test_loader.SAMPLE
-    frames = spark.createDataFrame(samples, schema)
-    for low, high in ((0, 10), (10, 30), (30, 200)):
-        frames.filter(f"seq >= {low} and seq < {high}").coalesce(1).write.mode("append").parquet(folder)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    live = heartbeat.stream_health(stream.withColumn("process_id", F.lit("p")))
-    names = ["seq", "lag_records", "progressed", "positive_lag_since", "last_progress_at", "state", "stall_reported"]
-    got = sorted(tuple(r[n] for n in names) for r in collect_stream(spark, live, "health"))
-    want = sorted(tuple(r[n] for n in names) for r in loader.track_health(frames).collect())
-    assert got == want and any(r[-1] for r in got)

@@ -1,9 +1,17 @@
-"""Streaming views: replay-safe bars, activity windows, idle sessions."""
+"""Streaming views: replay-safe bars, cumulative counters, idle sessions."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import Any
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tickhouse.operators.extractor import counter_windows, window_start
 
 
 def stream_deduplicated(bars: DataFrame, delay: str = "1 day", salts: int = 1) -> DataFrame:
@@ -38,19 +46,72 @@ def stream_sessions(frames: DataFrame, idle_seconds: int = 600, delay: str = "1
     )
 
 
+KINDS = {
+    "messages_received": "received", "messages_sent": "sent", "delivery_failures": "delivery_failure",
+    "errors": "error",
+}
+TIMES = {"last_message_us": "received", "last_delivery_us": "sent"}
+TOTALS = ", ".join(f"{name} bigint" for name in (*KINDS, *TIMES))
+
+
+class RunningTotals(StatefulProcessor):
+    """Adds up the closed intervals of a component; they close in the order of their times."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.totals = handle.getValueState("totals", TOTALS)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        known = self.totals.get() if self.totals.exists() else (0,) * len(KINDS) + (None,) * len(TIMES)
+        closed = pd.concat(list(rows)).sort_values("start_us")
+        counts = closed[list(KINDS)].cumsum() + np.array(known[:len(KINDS)])
+        times = pd.concat([pd.DataFrame([known[len(KINDS):]], columns=list(TIMES)), closed[list(TIMES)]])
+        times = times.astype("Int64").ffill().cummax().iloc[1:]
+        last = (*counts.iloc[-1].tolist(), *times.iloc[-1].tolist())
+        self.totals.update(tuple(None if pd.isna(v) else int(v) for v in last))
+        yield pd.concat([closed[["component", "start_us"]].reset_index(drop=True),
+                         counts.reset_index(drop=True), times.reset_index(drop=True)], axis=1)
+
+    def close(self) -> None:
+        pass
+
+
 def stream_counters(activity: DataFrame, seconds: int = 60, delay: str = "1 minute") -> DataFrame:
-    """Counters of each closed interval per component."""
+    """Cumulative counters per component at the end of each closed interval that saw activity.
+
+    Two stateful steps: intervals are counted (map-side first, so a busy component is thinned before it
+    is exchanged), and when the watermark closes one, its row enters the component's running totals.
+    Intervals that the watermark has not closed yet are added by ``final_counters``.
+    """
     kind = F.col("kind")
-    return (
+    closed = (
         activity.withWatermark("at", delay)
         .groupBy("component", F.window("at", f"{seconds} seconds").alias("w"))
         .agg(
-            F.count_if(kind == "received").alias("messages_received"),
-            F.count_if(kind == "sent").alias("messages_sent"),
-            F.count_if(kind == "delivery_failure").alias("delivery_failures"),
-            F.count_if(kind == "error").alias("errors"),
-            F.max(F.when(kind == "received", F.col("at"))).alias("last_message_at"),
+            *[F.count_if(kind == value).alias(name) for name, value in KINDS.items()],
+            *[F.max(F.when(kind == value, F.unix_micros("at"))).alias(name) for name, value in TIMES.items()],
         )
-        .select("component", F.col("w.start").alias("window_start"), "messages_received",
-                "messages_sent", "delivery_failures", "errors", "last_message_at")
+        .select("component", F.unix_micros("w.start").alias("start_us"), *KINDS, *TIMES)
     )
+    totals = closed.groupBy("component").transformWithStateInPandas(
+        RunningTotals(), f"component string, start_us bigint, {TOTALS}", "Append", "None")
+    return totals.select(
+        "component", F.timestamp_micros("start_us").alias("window_start"), *KINDS,
+        F.timestamp_micros("last_message_us").alias("last_message_at"),
+        F.timestamp_micros("last_delivery_us").alias("last_delivery_at"))
+
+
+def final_counters(emitted: DataFrame, activity: DataFrame, seconds: int = 60) -> DataFrame:
+    """Snapshots that a drained stream still owes: the totals of intervals after the last emitted one.
+
+    ``emitted`` is what ``stream_counters`` wrote, ``activity`` the same input as a table. Only activity
+    after a component's last emitted interval is counted; the rest comes from that interval's totals.
+    """
+    last = emitted.groupBy("component").agg(F.max_by(F.struct("*"), "window_start").alias("t")).select(
+        "component", *[F.col(f"t.{c}").alias(f"_{c}") for c in emitted.columns if c != "component"])
+    tail = activity.join(last.select("component", "_window_start"), "component", "left").where(
+        F.col("_window_start").isNull() | (window_start(F.col("at"), seconds) > F.col("_window_start")))
+    counted = counter_windows(tail.select(*activity.columns), seconds).join(last, "component", "left")
+    return counted.select(
+        "component", "window_start",
+        *[(F.col(n) + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in KINDS],
+        *[F.coalesce(n, f"_{n}").alias(n) for n in ("last_message_at", "last_delivery_at")])
