@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from datetime import timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from test_status import COSTS, NOW, payload
 from test_tables import METADATA
 from tickhouse import jobs
 from tickhouse.plans import compaction
+from tickhouse.streaming import sampler
 from tickhouse.plans.report import export_status
 
 COSTS = {**COSTS, "currency": "USD"}
@@ -79,12 +81,22 @@ def test_jobs_end_to_end(spark, saved, tmp_path):
     jobs.run(spark, ["ingest", "--landed", landed, "--root", root, "--drain", "--backfill"])
     bars, target = f"{root}/bars", str(tmp_path / "compacted")
     samples = str(tmp_path / "samples")
-    spark.createDataFrame([(bars, NOW, "1", "1"), (bars, NOW, "1", "2")], "table_id string, sampled_at timestamp, "
-                          "metadata_version string, snapshot_id string").write.parquet(samples)
-    compact = ["compact", "--root", bars, "--target", target, "--receipt", str(tmp_path / "r.json"), "--run-id", "x"]
-    with pytest.raises(compaction.CompactionRefused, match="quiet_window"):
+    jobs.run(spark, ["sample", "--table", f"{bars}={bars}", "--kind", "folder", "--samples", samples, "--interval", "1", "--count", "1"])
+    version = compaction.folder_state(spark.read.parquet(bars))["version"]
+    taken = sampler.read_samples(spark, samples).collect()
+    assert {(r["table_id"], r["metadata_version"]) for r in taken} == {(bars, version)}
+    compact = ["compact", "--root", bars, "--target", target, "--receipt", str(tmp_path / "r.json"), "--run-id", "x",
+               "--expected", version]
+    with pytest.raises(compaction.CompactionRefused, match="quiet_window"):  # one sample covers no window
         jobs.run(spark, [*compact, "--samples", samples])
-    jobs.run(spark, compact)
+    with pytest.raises(ValueError, match="quiet window"):
+        jobs.run(spark, compact)
+    with pytest.raises(SystemExit):
+        jobs.run(spark, ["compact", "--root", bars, "--receipt", "r.json", "--run-id", "x", "--run-now"])
+    at = taken[0]["sampled_at"].replace(tzinfo=timezone.utc)
+    more = spark.createDataFrame([(bars, at + timedelta(seconds=60 * i), version, version) for i in range(16)], sampler.SAMPLE)
+    more.write.parquet(f"{samples}/rows/batch_id=900")
+    jobs.run(spark, [*compact, "--samples", samples, "--now", (at + timedelta(seconds=930)).isoformat()])
     stored, after = spark.read.parquet(bars), spark.read.parquet(target)
     assert compaction.content_digest(stored) == compaction.content_digest(after) and after.count() == 3
     assert compaction.folder_state(after)["files"] < compaction.folder_state(stored)["files"]

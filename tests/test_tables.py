@@ -76,14 +76,40 @@ SAMPLES = "table_id string, sampled_at timestamp, metadata_version string, snaps
 
 
 def test_quiet_window(spark):
-    at = [NOW + timedelta(seconds=60 * i) for i in range(20)]
-    rows = [("moved", at[0], "42", "123"), ("moved", at[1], "43", "124"),
-            ("still", at[0], "42", "123"), ("still", at[15], "42", "123"), ("still", at[16], "43", "124")]
+    def seen(table, *steps):
+        return [(table, NOW + timedelta(seconds=t), version, version + "s") for t, version in steps]
+
+    rows = [
+        *seen("still", (-960, "42"), (-890, "42"), (-600, "42"), (-300, "42"), (-10, "42")),
+        *seen("old_change", (-2000, "41"), (-910, "42"), (-600, "42"), (-300, "42"), (0, "42")),
+        *seen("moved", (-960, "42"), (-600, "42"), (-300, "43"), (0, "43")),
+        *seen("moved_back", (-960, "42"), (-600, "43"), (-300, "42"), (0, "42")),
+        *seen("once", (0, "42")),
+        *seen("long_ago", (-86400, "42"), (-86000, "42")),
+        *seen("gap", (-960, "42"), (-100, "42"), (0, "42")),
+        *seen("no_start", (-890, "42"), (-600, "42"), (-300, "42"), (0, "42")),
+        *seen("no_end", (-960, "42"), (-700, "42"), (-400, "42")),
+        *seen("future", (-960, "42"), (-600, "42"), (-300, "42"), (-1, "42"), (5, "43")),
+    ]
     samples = spark.createDataFrame(rows, SAMPLES)
-    quiet = {r["table_id"]: r["is_quiet"] for r in upkeep.quiet_tables(samples).collect()}
-    assert quiet == {"moved": False, "still": True}
-    once = {r["table_id"]: (r["is_quiet"], r["samples"]) for r in upkeep.quiet_tables(samples, run_now=True).collect()}
-    assert once == {"moved": (True, 1), "still": (True, 1)}
+    got = {r["table_id"]: r for r in upkeep.quiet_tables(samples, NOW, 900, 360).collect()}
+    assert {t: r["reason"] for t, r in got.items()} == {
+        "still": "quiet", "old_change": "quiet", "moved": "changed", "moved_back": "changed", "once": "not_covered",
+        "long_ago": "not_covered", "gap": "not_covered", "no_start": "not_covered", "no_end": "not_covered",
+        "future": "quiet"}
+    assert all(r["is_quiet"] == (r["reason"] == "quiet") for r in got.values())
+    assert got["moved"]["changed_at"].replace(tzinfo=timezone.utc) == NOW - timedelta(seconds=300)
+    assert got["still"]["snapshot_id"] == "42s" and got["moved"]["metadata_version"] == "43"
+    now = {r["table_id"]: r["is_quiet"] for r in upkeep.quiet_tables(samples, NOW, 900, 360, run_now=True).collect()}
+    assert set(now.values()) == {True}
+    for bad in (0, 60), (60, 0):
+        with pytest.raises(ValueError):
+            upkeep.quiet_tables(samples, NOW, *bad)
+
+
+def test_newest_snapshots_break_ties_by_id(spark):
+    rows = spark.createDataFrame([("t", NOW, 3), ("t", NOW, 7), ("t", NOW, 5)], "table_id string, committed_at timestamp, snapshot_id long")
+    assert [r["snapshot_id"] for r in tables.newest_snapshots(rows, 2).orderBy("newest_rank").collect()] == [7, 5]
 
 
 def test_expiry_keeps_recent_current_and_protected(spark):
@@ -132,16 +158,17 @@ def test_compaction_of_a_bar_folder(spark, table, tmp_path):
     assert set(after.columns) == set(before.columns) and receipt["post"]["files"] <= 4
     assert receipt == read_receipt(spark, place) and (tmp_path / "receipt.json").is_file()
     one = str(tmp_path / "one-day")
-    compaction.compact_days(spark, table, one, place, "r", days=[date(2025, 3, 11)])
+    compaction.compact_days(spark, table, one, place, "r", days=[date(2025, 3, 11)],
+                            expected=compaction.folder_state(compaction.read_days(spark, table, [date(2025, 3, 11)]))["version"])
     assert spark.read.parquet(one).count() == 400
     spark.range(1).select("id", F.lit("S").alias("symbol"), F.lit("2025-03-10").cast("date").alias("event_date")
                           ).write.partitionBy("event_date").parquet(f"{table}/query_id=q/batch_id=9")
     with pytest.raises(compaction.CompactionRefused, match="unchanged_since_planned"):
         compaction.compact_days(spark, table, str(tmp_path / "late"), place, "r", expected=planned["version"])
     with pytest.raises(compaction.CompactionRefused, match="fewer_files"):
-        compaction.compact_days(spark, target, str(tmp_path / "again"), place, "r")
+        compaction.compact_days(spark, target, str(tmp_path / "again"), place, "r", expected=compaction.folder_state(after)["version"])
     with pytest.raises(ValueError):
-        compaction.compact_days(spark, table, str(tmp_path / "x"), place, "r", target_bytes=1024)
+        compaction.compact_days(spark, table, str(tmp_path / "x"), place, "r", expected="1", target_bytes=1024)
 
 
 def test_large_days_are_split_and_small_ones_share_tasks(spark, tmp_path, monkeypatch):
@@ -151,7 +178,8 @@ def test_large_days_are_split_and_small_ones_share_tasks(spark, tmp_path, monkey
         "id", F.sha2(F.col("id").cast("string"), 256).alias("symbol"),
         F.date_add(F.lit("2025-03-01"), F.greatest(F.lit(0), F.col("id").cast("int") % 1000 - 980)).alias("event_date"))
     rows.repartition(40).write.partitionBy("event_date").parquet(root)
-    compaction.compact_days(spark, root, target, str(tmp_path / "r.json"), "r", target_bytes=500_000)
+    compaction.compact_days(spark, root, target, str(tmp_path / "r.json"), "r",
+                            expected=compaction.folder_state(spark.read.parquet(root))["version"], target_bytes=500_000)
     files = {r["event_date"]: r["n"] for r in spark.read.parquet(target).select(
         "event_date", "_metadata.file_path").distinct().groupBy("event_date").agg(
         F.count(F.lit(1)).alias("n")).collect()}

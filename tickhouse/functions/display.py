@@ -56,3 +56,8 @@ def bar_height(value: Column, largest: Column, floor: float) -> Column:
     size = F.coalesce(value.cast("double"), F.lit(0.0))
     top = F.greatest(F.coalesce(largest.cast("double"), F.lit(0.0)), F.lit(floor))
     return F.greatest(F.lit(8.0), size / top * 100)
+
+
+def cost_bar_height(cost: Column, largest: Column) -> Column:
+    """Height of a cost by its absolute value; ``largest`` is the largest absolute cost, a cent at least."""
+    return bar_height(F.abs(cost), largest, 0.01)

@@ -1,4 +1,4 @@
-"""``spark-submit`` entry points: ingest, status, costs, compact (behind a quiet-window check)."""
+"""``spark-submit`` entry points: ingest, status, costs, sample, compact (behind a quiet window)."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from tickhouse.plans.report import export_status
 from tickhouse.session import DEFAULT_TARGET_FILE_BYTES, configure, target_file_bytes
 from tickhouse.sources.frames import read_topic, stream_landed, topic_options
 from tickhouse.sources.sinks import write_snapshot
+from tickhouse.streaming.sampler import read_samples, sample_tables
 from tickhouse.streaming.ingest import BatchWriter, IngestPaths, start_ingest
 
 
@@ -50,7 +51,7 @@ def parser() -> argparse.ArgumentParser:
     status.add_argument("--table-metadata")
     status.add_argument("--cost-snapshot")
     status.add_argument("--json-lines", action="store_true", help="one log entry per line")
-    status.add_argument("--forbid", action="append", default=[], help="text that no document may contain")
+    status.add_argument("--forbid", action="append", default=[], help="further text that no document may contain")
 
     costs = commands.add_parser("costs", help="cost snapshot from a billing export")
     costs.add_argument("--billing", required=True)
@@ -58,15 +59,25 @@ def parser() -> argparse.ArgumentParser:
     costs.add_argument("--output", required=True)
     costs.add_argument("--now", type=instant)
 
+    sample = commands.add_parser("sample", help="record the version of tables at an interval")
+    sample.add_argument("--table", action="append", required=True, metavar="NAME=METADATA_FOLDER_OR_BAR_FOLDER")
+    sample.add_argument("--kind", choices=("metadata", "folder"), default="metadata")
+    sample.add_argument("--samples", required=True)
+    sample.add_argument("--interval", type=int, default=60, help="seconds")
+    sample.add_argument("--count", type=int, help="stop after so many samples; default never")
+
     compact = commands.add_parser("compact", help="guarded data-file compaction")
     where = compact.add_mutually_exclusive_group(required=True)
     where.add_argument("--root", help="bar folder that ingest fills")
     where.add_argument("--table", help="catalog.namespace.table of an Iceberg table")
     compact.add_argument("--target", help="new folder, with --root")
     compact.add_argument("--day", type=date.fromisoformat, action="append", help="with --root; default all")
-    compact.add_argument("--expected", help="expected snapshot, or folder version with --root")
-    compact.add_argument("--samples", help="Parquet of table samples; the table must have been quiet")
+    compact.add_argument("--expected", required=True, help="snapshot, or folder version with --root, when the run was planned")
+    compact.add_argument("--samples", help="table samples (job sample); the table must have been quiet until now")
+    compact.add_argument("--run-now", action="store_true", help="do without a quiet window")
+    compact.add_argument("--now", type=instant)
     compact.add_argument("--quiet-seconds", type=int, default=900)
+    compact.add_argument("--max-gap-seconds", type=int, default=120)
     compact.add_argument("--receipt", required=True)
     compact.add_argument("--run-id", required=True)
     compact.add_argument("--target-bytes", type=int, default=DEFAULT_TARGET_FILE_BYTES)
@@ -94,21 +105,25 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
     elif args.command == "costs":
         lines = flat_lines(spark.read.parquet(args.billing))
         write_snapshot(cost_snapshot(lines, F.lit(now), args.project), args.output)
+    elif args.command == "sample":
+        places = dict(pair.split("=", 1) for pair in args.table)
+        sample_tables(spark, places, args.samples, args.kind, args.interval, args.count)
     else:
         size = target_file_bytes(args.target_bytes)
         name = args.root or args.table
-        if args.samples:
-            quiet = quiet_tables(spark.read.parquet(args.samples), args.quiet_seconds)
-            if not quiet.filter((F.col("table_id") == name) & F.col("is_quiet")).limit(1).count():
+        if not args.run_now:
+            if not args.samples:
+                raise ValueError("give --samples for the quiet window, or --run-now to do without")
+            own = read_samples(spark, args.samples).filter(F.col("table_id") == name)
+            quiet = quiet_tables(own, now, args.quiet_seconds, args.max_gap_seconds)
+            if not quiet.filter("is_quiet").limit(1).count():
                 raise CompactionRefused(["quiet_window"])
         if args.root:
             if not args.target:
                 raise ValueError("--root needs --target")
-            compact_days(spark, args.root, args.target, args.receipt, args.run_id, args.day,
-                         args.expected, size)
+            compact_days(spark, args.root, args.target, args.receipt, args.run_id, args.expected,
+                         args.day, size)
         else:
-            if not args.expected:
-                raise ValueError("--table needs --expected")
             compact_iceberg(spark, args.table, args.expected, args.receipt, args.run_id, size)
 
 

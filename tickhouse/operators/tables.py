@@ -146,7 +146,9 @@ def reconcile(ledger: DataFrame) -> DataFrame:
 
 
 def newest_snapshots(commits: DataFrame, count: int = 1) -> DataFrame:
-    newest = Window.partitionBy("table_id").orderBy(F.col("committed_at").desc())
+    """The newest commits of each table; equal times are ordered by snapshot id where there is one."""
+    order = [F.col(c).desc() for c in ("committed_at", "snapshot_id") if c in commits.columns]
+    newest = Window.partitionBy("table_id").orderBy(*order)
     return commits.withColumn("newest_rank", F.row_number().over(newest)).filter(
         F.col("newest_rank") <= count
     )

@@ -10,31 +10,50 @@ from pyspark.sql import functions as F
 from tickhouse.session import IDENTIFIER, OBJECT_DIRECTORY, PROJECT, RECEIPT_OBJECT, aware
 
 
-def quiet_tables(samples: DataFrame, window_seconds: int = 900, run_now: bool = False) -> DataFrame:
-    """Which tables stayed unchanged from their first sample through the quiet window.
+def quiet_tables(
+    samples: DataFrame, now: datetime | Column, window_seconds: int = 900, max_gap_seconds: int = 120,
+    run_now: bool = False,
+) -> DataFrame:
+    """Which tables stayed unchanged through the whole window that ends now.
 
-    ``samples``: ``table_id, sampled_at, metadata_version, snapshot_id``. No ordering is needed:
-    a table is quiet when every sample in the window equals the first one.
+    ``samples``: ``table_id, sampled_at, metadata_version, snapshot_id``. A table is quiet when its
+    samples cover the window, from before its start until now with no gap over ``max_gap_seconds``,
+    and all of them show one version and one snapshot. ``reason`` is ``quiet``, ``changed``,
+    ``not_covered`` (too few samples, or a gap) or ``run_now``, where the newest sample suffices.
+    Samples after ``now`` do not count. The reported version is that of the newest sample.
     """
+    if window_seconds < 1 or max_gap_seconds < 1:
+        raise ValueError("window and gap must be positive")
+    end = F.unix_micros(now if isinstance(now, Column) else F.lit(aware(now)))
     seen = F.struct("metadata_version", "snapshot_id")
-    first = samples.groupBy("table_id").agg(
-        F.min("sampled_at").alias("window_start"), F.min_by(seen, "sampled_at").alias("expected")
+    at = F.unix_micros("sampled_at")
+    gap = max_gap_seconds * 1_000_000
+    begin = end - window_seconds * 1_000_000
+    # A sample before this cannot cover the start of the window without a gap.
+    told = samples.where(at <= end).withColumn("_in", at >= begin - gap)
+    order = Window.partitionBy("table_id").orderBy("sampled_at", "metadata_version", "snapshot_id")
+    near = told.where("_in").select(
+        "table_id", "sampled_at", seen.alias("seen"), F.lag(at).over(order).alias("_before"),
+        F.lag(seen).over(order).alias("_was"), F.lead(at).over(order).alias("_after"))
+    inside = at >= begin
+    watched = near.where(inside | (F.coalesce("_after", end) > begin)).groupBy("table_id").agg(
+        F.count(F.lit(1)).alias("samples"),
+        F.min(at).alias("_first"), F.max(at).alias("_last"),
+        F.max(F.when(F.col("_before") >= begin - gap, at - F.col("_before"))).alias("_widest"),
+        F.min(F.when((F.col("_was") != F.col("seen")) & inside, F.col("sampled_at"))).alias("changed_at"),
+    )
+    newest = told.groupBy("table_id").agg(F.max_by(seen, F.struct("sampled_at", seen)).alias("newest"))
+    covered = F.coalesce(
+        (F.col("_first") <= begin) & (end - F.col("_last") <= gap) & (F.coalesce("_widest", F.lit(0)) <= gap),
+        F.lit(False))
+    reason = (
+        F.when(F.lit(run_now), "run_now").when(F.col("changed_at").isNotNull(), "changed")
+        .when(~covered, "not_covered").otherwise("quiet")
     )
-    length = 0 if run_now else window_seconds
-    elapsed = F.unix_micros(F.col("sampled_at")) - F.unix_micros(F.col("window_start"))
-    differs = seen != F.col("expected")
-    return (
-        samples.join(first, "table_id")
-        .filter(elapsed <= length * 1_000_000)
-        .groupBy("table_id", "window_start", "expected")
-        .agg(
-            F.count(F.lit(1)).alias("samples"),
-            F.min(F.when(differs, F.col("sampled_at"))).alias("changed_at"),
-        )
-        .select(
-            "table_id", "window_start", "expected.metadata_version", "expected.snapshot_id",
-            "samples", "changed_at", F.col("changed_at").isNull().alias("is_quiet"),
-        )
+    return newest.join(watched, "table_id", "left").select(
+        "table_id", F.timestamp_micros(begin).alias("window_start"), "newest.metadata_version",
+        "newest.snapshot_id", F.coalesce("samples", F.lit(0).cast("long")).alias("samples"), "changed_at",
+        reason.alias("reason"), reason.isin("quiet", "run_now").alias("is_quiet"),
     )
 
 

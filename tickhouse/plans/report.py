@@ -75,7 +75,8 @@ def export_status(
     entries. Every entry counts unless ``since`` or ``newest`` bound the read. Table metadata and
     costs are optional: when they cannot be read their section says so and the rest of the document
     is unaffected. ``metadata_folders`` maps a pipeline to its table's metadata folder. Nothing is
-    written if a document contains one of the ``forbidden`` texts.
+    written if a document holds a location, a local path, a UUID, an exception's name or one of the
+    ``forbidden`` texts.
     """
     exactly_one(saved_entries, live_entries, "give exactly one of saved or live entries")
     at_most_one(metadata_document, metadata_folders, "give at most one table metadata input")
@@ -100,7 +101,9 @@ def export_status(
         entries, now, pipelines, metadata, costs, limits, names, since, newest
     )
     documents = document_json(report)
-    if forbidden and leaks(documents, list(forbidden)).limit(1).count():
-        raise ValueError("a status document contains a forbidden text; nothing was written")
+    found = leaks(documents, list(forbidden)).limit(1).collect()
+    if found:
+        kinds = [t if t not in forbidden else "forbidden text" for t in found[0]["tokens"]]
+        raise ValueError(f"a status document contains {', '.join(kinds)}; nothing was written")
     write_documents(documents, output)
     return documents

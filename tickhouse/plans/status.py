@@ -215,10 +215,24 @@ def document_json(report: DataFrame) -> DataFrame:
     return report.select("pipeline_id", text.alias("document"))
 
 
+# What no public document may hold, whoever asks: storage locations and local paths, UUIDs,
+# class names of exceptions, and a failure's stack frames.
+PRIVATE = {
+    "location": r"(?i)\b(?:gs|s3a?|hdfs|abfss?|file)://",
+    "local_path": r"(?:^|[\s\"'=(])/(?:home|root|var|etc|opt|usr|tmp|mnt|srv)/",
+    "uuid": r"(?i)\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b",
+    "exception": r"\b[A-Za-z_$][\w$]*(?:Exception|Error)\b",
+    "stack_frame": r"\bat [\w.$]+\([\w.]+:\d+\)",
+}
+
+
 def leaks(documents: DataFrame, forbidden: list[str]) -> DataFrame:
-    """Public-boundary check: documents that contain any of the forbidden texts."""
-    found = F.filter(
-        F.array(*[F.lit(token) for token in forbidden]),
-        lambda token: F.col("document").contains(token),
-    )
-    return documents.select("pipeline_id", found.alias("tokens")).filter(F.size("tokens") > 0)
+    """Public-boundary check: documents that hold a forbidden text or anything of a private kind.
+
+    ``tokens`` names the texts, and the kinds of ``PRIVATE`` that were found.
+    """
+    body = F.col("document")
+    found = [F.when(body.contains(token), F.lit(token)) for token in forbidden]
+    found += [F.when(body.rlike(pattern), F.lit(kind)) for kind, pattern in PRIVATE.items()]
+    tokens = F.array_compact(F.array(*found))
+    return documents.select("pipeline_id", tokens.alias("tokens")).filter(F.size("tokens") > 0)

@@ -14,12 +14,15 @@ from tickhouse.functions.bars import (
     typical_price,
 )
 from tickhouse.functions.times import micros_text
-from tickhouse.operators import batching, control, decode, readviews
+from tickhouse.operators import batching, control, cuts, decode, readviews
 from tickhouse.operators.tables import reconcile
 from tickhouse.queries import inputs
 from tickhouse.queries.inputs import sql
 from tickhouse.queries.registry import query
+from tickhouse.session import checkpoint_dir
 from tickhouse.sources.synthetic import expand_periods
+from tickhouse.streaming import cuts as live_cuts
+from tickhouse.streaming.run import drained, shared_path
 
 BAR_OUTPUT = [
     "bar_type", "symbol", "open", "high", "low", "close", "volume", "event_time_text",
@@ -286,6 +289,57 @@ def replay_ages(spark, sf_dir):
     )
 
 
+MAX_AGE = 4 * 3600
+CUTS_SQL = f"""(WITH RECURSIVE
+fr AS (SELECT part_id, src_offset, count(*) AS n, min(event_ts) AS got FROM bars GROUP BY 1, 2),
+pl AS (SELECT *, sum(n) OVER w - n AS first, sum(n) OVER w AS next, max(got) OVER w AS clock
+       FROM fr WINDOW w AS (PARTITION BY part_id ORDER BY src_offset)),
+tot AS (SELECT part_id, sum(n) AS total FROM fr GROUP BY 1),
+due AS (SELECT a.part_id, a.first, a.next, a.clock, min(b.first) AS late FROM pl a LEFT JOIN pl b
+          ON b.part_id = a.part_id AND b.clock >= a.clock + INTERVAL {MAX_AGE} SECOND GROUP BY 1, 2, 3, 4),
+walk AS (SELECT part_id, 0::BIGINT AS batch_id, 0::BIGINT AS low FROM tot
+         UNION ALL
+         SELECT w.part_id, w.batch_id + 1, least(w.low + {LIMIT}, coalesce(d.late, total), total)::BIGINT
+         FROM walk w JOIN due d ON d.part_id = w.part_id AND w.low >= d.first AND w.low < d.next JOIN tot ON tot.part_id = w.part_id
+         WHERE least(w.low + {LIMIT}, coalesce(d.late, total), total) < total),
+cut AS (SELECT w.part_id, batch_id, low, coalesce(lead(low) OVER (PARTITION BY w.part_id ORDER BY batch_id), total) AS high, total
+        FROM walk w JOIN tot ON tot.part_id = w.part_id)
+SELECT c.part_id, batch_id, (high - low)::BIGINT AS bars, count(*) AS source_records,
+       max(CASE WHEN p.next <= high THEN src_offset + 1 END) AS commit_offset, min(clock) AS opened_at, max(clock) AS filled_at,
+       CASE WHEN high - low = {LIMIT} THEN 'full' WHEN high < total THEN 'age' ELSE 'open' END AS reason
+FROM cut c JOIN pl p ON p.part_id = c.part_id AND p.first < high AND p.next > low GROUP BY 1, 2, low, high, total)"""
+
+
+def _cut_columns(found):
+    return found.select(
+        _long("part_id"), "batch_id", "bars", "source_records", "commit_offset",
+        *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("opened_at", "filled_at")], "reason")
+
+
+@query("batching_t1_cuts", sql(f"SELECT * FROM {CUTS_SQL}", "bars"))
+def replayed_cuts(spark, sf_dir):
+    """The batches a bars-or-age loader cuts from the landed log, by the exact rule."""
+    placed = batching.place_frames(inputs.sized_frames(spark, sf_dir))
+    return _cut_columns(cuts.replay_cuts(placed, LIMIT, MAX_AGE))
+
+
+@query("batching_t1_live_cuts", sql(f"SELECT * FROM {CUTS_SQL} WHERE reason <> 'open'", "bars"))
+def streamed_cuts(spark, sf_dir):
+    """The same batches from the live stream, landed and drained in three goes with the rest in state."""
+    checkpoint_dir(spark)
+    frames = inputs.sized_frames(spark, sf_dir).checkpoint()
+    folder, landed = shared_path(spark, "cuts"), shared_path(spark, "frames")
+    third = F.expr("ntile(3) OVER (PARTITION BY topic, part_id ORDER BY span)")
+    spans = frames.select("topic", "part_id", F.floor(F.col("src_offset") / 16).alias("span")).distinct().withColumn(
+        "go", third).checkpoint()
+    dealt = frames.withColumn("span", F.floor(F.col("src_offset") / 16)).join(spans, ["topic", "part_id", "span"])
+    for go in (1, 2, 3):
+        dealt.where(F.col("go") == go).select(*frames.columns).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(frames.schema).parquet(landed)
+        found = drained(live_cuts.stream_cuts(stream, LIMIT, MAX_AGE, timers=False), folder)
+    return _cut_columns(found)
+
+
 def _delivered(spark, sf_dir):
     """Stored bars with every tenth delivered again at a later offset."""
     bars = inputs.bars(spark, sf_dir)

@@ -18,6 +18,8 @@ from tickhouse.queries.inputs import sql
 from tickhouse.queries.registry import query
 from tickhouse.schemas import LOG_FIELDS
 from tickhouse.settings import FAILURE_EVENTS, LIVE_READ_LIMITS
+from tickhouse.streaming import views, watchdog
+from tickhouse.streaming.run import drained
 
 FAILURES = ", ".join(f"'{name}'" for name in FAILURE_EVENTS)
 SECONDS = "'%Y-%m-%dT%H:%M:%SZ'"
@@ -174,9 +176,9 @@ def extractor_alerts(spark, sf_dir):
     )
 
 
-def _activity(spark, sf_dir):
+def _activity(spark, sf_dir, stream=False):
     kind = F.col("event_type")
-    return inputs.events(spark, sf_dir).select(
+    return inputs.events(spark, sf_dir, stream).select(
         F.concat(F.lit("c"), (F.col("user_id") % 4).cast("string")).alias("component"),
         F.col("ts").alias("at"),
         F.when(kind == "view", "received").when(kind == "click", "sent")
@@ -184,8 +186,7 @@ def _activity(spark, sf_dir):
     )
 
 
-@query("extractor_a5_counters", sql(
-    """WITH w AS (SELECT 'c' || CAST(user_id % 4 AS VARCHAR) AS component, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+COUNTERS_SQL = """WITH w AS (SELECT 'c' || CAST(user_id % 4 AS VARCHAR) AS component, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
          count_if(event_type = 'view') AS r, count_if(event_type = 'click') AS s, count_if(event_type = 'purchase') AS d,
          count_if(event_type NOT IN ('view', 'click', 'purchase')) AS e,
          max(CASE WHEN event_type = 'view' THEN ts END) AS m, max(CASE WHEN event_type = 'click' THEN ts END) AS l
@@ -193,16 +194,30 @@ def _activity(spark, sf_dir):
        SELECT component, window_start, CAST(sum(r) OVER o AS BIGINT) AS messages_received, CAST(sum(s) OVER o AS BIGINT) AS messages_sent,
          CAST(sum(d) OVER o AS BIGINT) AS delivery_failures, CAST(sum(e) OVER o AS BIGINT) AS errors,
          max(m) OVER o AS last_message_at, max(l) OVER o AS last_delivery_at
-       FROM w WINDOW o AS (PARTITION BY component ORDER BY window_start)"""))
-def counters(spark, sf_dir):
-    """Cumulative extractor counters at the end of each interval (A5, T5)."""
-    totals = extractor.counter_windows(_activity(spark, sf_dir), 3600)
+       FROM w WINDOW o AS (PARTITION BY component ORDER BY window_start)"""
+
+
+def _counter_columns(totals):
     return totals.select(
         "component", _ntz("window_start"), "messages_received", "messages_sent",
         "delivery_failures", "errors", _ntz("last_message_at"), _ntz("last_delivery_at"),
     )
 
 
+@query("extractor_a5_counters", sql(COUNTERS_SQL))
+def counters(spark, sf_dir):
+    """Cumulative extractor counters at the end of each interval (A5, T5)."""
+    return _counter_columns(extractor.counter_windows(_activity(spark, sf_dir), 3600))
+
+
+@query("extractor_t5_live_counters", sql(COUNTERS_SQL))
+def live_counters(spark, sf_dir):
+    """The same counters from the stream's closed intervals and the snapshots it owes when drained (T5)."""
+    emitted = drained(views.stream_counters(_activity(spark, sf_dir, stream=True), 3600))
+    owed = views.final_counters(emitted, _activity(spark, sf_dir), 3600)
+    return _counter_columns(emitted.unionByName(owed))
+
+
 @query("extractor_a8_summary", sql(
     f"""SELECT pipeline_id, CASE WHEN lm = 'final metrics' THEN 'clean_shutdown' ELSE 'observed' END AS status,
           strftime(last_at, {SECONDS}) AS last_event_utc, lk AS messages_received,
@@ -253,6 +268,23 @@ def idle_now(spark, sf_dir):
     )
 
 
+@query("extractor_t4_live_watch", sql(
+    """WITH a AS (SELECT 'c' || CAST(user_id % 4 AS VARCHAR) AS component, ts, event_type FROM events),
+       s AS (SELECT component, max(ts) AS started_at FROM a WHERE event_type = 'signup' GROUP BY 1),
+       l AS (SELECT component, max(ts) AS last FROM a WHERE event_type = 'view' GROUP BY 1)
+       SELECT component, started_at, CASE WHEN last >= coalesce(started_at, last) THEN last END AS last_message_at,
+         greatest(coalesce(started_at, last), coalesce(last, started_at)) + INTERVAL 600 SECOND AS idle_at
+       FROM s FULL JOIN l USING (component)"""))
+def live_watch(spark, sf_dir):
+    """Components that the live watchdog finds silent once the stream has run dry (T4)."""
+    kind = F.col("event_type")
+    activity = inputs.events(spark, sf_dir, stream=True).select(
+        F.concat(F.lit("c"), (F.col("user_id") % 4).cast("string")).alias("component"), F.col("ts").alias("at"),
+        F.when(kind == "signup", watchdog.STARTED).when(kind == "view", watchdog.DATA).otherwise("keepalive").alias("kind"))
+    found = drained(watchdog.stream_idle(activity, 600), timers=True)
+    return found.select("component", _ntz("started_at"), _ntz("last_message_at"), _ntz("idle_at"))
+
+
 @query("extractor_f9_queue_and_redaction", sql(
     f"""SELECT event_id, CASE WHEN k % 4 = 0 THEN NULL ELSE to_timestamp(k * 1000)::TIMESTAMP END AS last_delivery_at,
           greatest(60 - k, 0) AS queue_depth,
@@ -585,15 +617,15 @@ a1 AS (SELECT pipeline_id, string_agg(strftime(seen, {SECONDS}) || '/' || compon
 
 
 def _document_inputs(entries):
-    """A metadata document and a cost snapshot for every pipeline but one in seven."""
+    """A metadata document for every pipeline but the third, a cost snapshot for every one but the second."""
     names = entries.select("pipeline_id").distinct()
-    size, some = F.length("pipeline_id"), F.crc32(F.col("pipeline_id").cast("binary")) % 7 > 0
-    metadata = names.filter(some).select("pipeline_id", F.format_string(
+    size = F.length("pipeline_id")
+    metadata = names.filter(~F.col("pipeline_id").endswith("2")).select("pipeline_id", F.format_string(
         '{"current-snapshot-id":5,"snapshots":[{"snapshot-id":5,"timestamp-ms":86400000,"summary":'
         '{"operation":"append","total-records":"%d","total-data-files":"4"}}],"metadata-log":[]}',
         size * 100).alias("metadata"))
     money = lambda n: (size * n).cast("string")
-    costs = names.filter(some).select(
+    costs = names.filter(~F.col("pipeline_id").endswith("1")).select(
         "pipeline_id", F.lit("2024-01-30T06:07:00Z").alias("aggregated_at_utc"),
         F.lit("2024-01-30T05:00:00Z").alias("source_exported_at_utc"), F.lit("USD").alias("currency"),
         money(3).alias("seven_day_net_cost"), money(5).alias("month_to_date_net_cost"),
@@ -638,35 +670,29 @@ def documents(spark, sf_dir):
 
 
 @query("status_d1_sections", sql(
-    """SELECT pipeline_id, 'unavailable' AS missing, 'available' AS status, length(pipeline_id) * 100 AS total_records,
-         '1970-01-02T00:00:00Z' AS committed, (length(pipeline_id) * 3)::DOUBLE AS seven_day, length(pipeline_id)::DOUBLE AS today,
-         'Storage' AS service FROM (SELECT DISTINCT pipeline_id FROM health)""", "health"))
+    """SELECT pipeline_id, CASE WHEN t THEN 'available' ELSE 'unavailable' END AS table_status, CASE WHEN NOT t THEN 'not_configured' END AS table_reason,
+         CASE WHEN t THEN length(pipeline_id) * 100 END AS total_records, CASE WHEN t THEN '1970-01-02T00:00:00Z' END AS committed,
+         CASE WHEN c THEN 'available' ELSE 'unavailable' END AS cost_status, CASE WHEN NOT c THEN 'not_configured' END AS cost_reason,
+         CASE WHEN c THEN (length(pipeline_id) * 3)::DOUBLE END AS seven_day, CASE WHEN c THEN length(pipeline_id)::DOUBLE END AS today,
+         CASE WHEN c THEN 'Storage' END AS service
+       FROM (SELECT DISTINCT pipeline_id, pipeline_id NOT LIKE '%2' AS t, pipeline_id NOT LIKE '%1' AS c FROM health)""", "health"))
 def document_sections(spark, sf_dir):
-    """Table and cost sections of the documents, given for some pipelines and absent for others."""
+    """Table and cost sections of the documents, one absent for one pipeline and the other for another."""
     entries = _all_entries(spark, sf_dir)
     metadata, costs = _document_inputs(entries)
-    size = F.length("pipeline_id")
     texts = document_json(status_documents(entries, DOCUMENT_NOW, None, metadata, costs))
 
-    def at(path):
-        return F.get_json_object("document", path)
-
-    given = F.crc32(F.col("pipeline_id").cast("binary")) % 7 > 0
-
-    def held(path, kind, absent):
-        """The value where the section was given; what must stand for it where it was not."""
-        return F.when(given, at(path).cast(kind)).when(at(path).isNull(), absent)
+    def at(path, kind="string"):
+        return F.get_json_object("document", path).cast(kind)
 
-    reason = F.when(~given, F.concat_ws("/", at("$.table.reason"), at("$.costs.reason")))
-    absent = F.when(given | (reason == "not_configured/not_configured"), "unavailable")
     return texts.select(
-        "pipeline_id", absent.alias("missing"),
-        F.when(given == (at("$.table.status") == "available"), "available").alias("status"),
-        held("$.table.total_records", "bigint", size.cast("bigint") * 100).alias("total_records"),
-        held("$.table.current_snapshot_commit_utc", "string", F.lit("1970-01-02T00:00:00Z")).alias("committed"),
-        held("$.costs.seven_day_net_cost", "double", size * F.lit(3.0)).alias("seven_day"),
-        held("$.costs.today_net_cost", "double", size.cast("double")).alias("today"),
-        held("$.costs.top_services[0].service_name", "string", F.lit("Storage")).alias("service"),
+        "pipeline_id", at("$.table.status").alias("table_status"), at("$.table.reason").alias("table_reason"),
+        at("$.table.total_records", "bigint").alias("total_records"),
+        at("$.table.current_snapshot_commit_utc").alias("committed"),
+        at("$.costs.status").alias("cost_status"), at("$.costs.reason").alias("cost_reason"),
+        at("$.costs.seven_day_net_cost", "double").alias("seven_day"),
+        at("$.costs.today_net_cost", "double").alias("today"),
+        at("$.costs.top_services[0].service_name").alias("service"),
     )
 
 

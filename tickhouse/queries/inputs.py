@@ -20,9 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a stream of its files.
+
+    The path is a pattern that matches the table alone: a stream takes a plain path for a folder, and a
+    table may be one file.
+    """
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
+def events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Events with UTC timestamps and the parsed integer property."""
-    return table(spark, sf_dir, "events").select(
+    source = table_stream if stream else table
+    return source(spark, sf_dir, "events").select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         "user_id",

@@ -352,26 +352,32 @@ def bin_plan(spark, sf_dir):
 
 
 @query("upkeep_w11_quiet", sql(
-    """WITH q AS (SELECT 't' || CAST(o_custkey AS VARCHAR) AS table_id, o_orderdate AS sampled_at, max(o_orderstatus) AS s FROM orders GROUP BY 1, 2),
-       f AS (SELECT table_id, min(sampled_at) AS window_start, arg_min(s, sampled_at) AS snapshot_id FROM q GROUP BY 1)
-       SELECT table_id, window_start, snapshot_id, count(*) AS samples, min(CASE WHEN s <> snapshot_id THEN sampled_at END) AS changed_at,
-         count_if(s <> snapshot_id) = 0 AS is_quiet
-       FROM q JOIN f USING (table_id) WHERE sampled_at <= window_start + INTERVAL 365 DAY GROUP BY 1, 2, 3"""))
+    """WITH q AS (SELECT 't' || CAST(o_custkey AS VARCHAR) AS table_id, o_orderdate::TIMESTAMP AS seen_at, max(o_orderstatus) AS s FROM orders GROUP BY 1, 2),
+       w AS (SELECT TIMESTAMP '1998-08-03' - INTERVAL 730 DAY AS low, TIMESTAMP '1998-08-03' AS high, INTERVAL 400 DAY AS gap),
+       k AS (SELECT *, lag(seen_at) OVER (PARTITION BY table_id ORDER BY seen_at) AS prev_at, lag(s) OVER (PARTITION BY table_id ORDER BY seen_at) AS was,
+               lead(seen_at) OVER (PARTITION BY table_id ORDER BY seen_at) AS next_at FROM q, w WHERE seen_at <= high AND seen_at >= low - gap),
+       g AS (SELECT table_id, count(*) AS samples, min(seen_at) AS first_at, max(seen_at) AS last_at, max(seen_at - prev_at) AS widest,
+               min(CASE WHEN was <> s AND seen_at >= low THEN seen_at END) AS changed_at
+             FROM k WHERE seen_at >= low OR coalesce(next_at, high) > low GROUP BY 1),
+       n AS (SELECT table_id, arg_max(s, seen_at) AS snapshot_id FROM q, w WHERE seen_at <= high GROUP BY 1),
+       r AS (SELECT table_id, low AS window_start, snapshot_id, coalesce(samples, 0) AS samples, changed_at,
+               CASE WHEN changed_at IS NOT NULL THEN 'changed'
+                    WHEN first_at <= low AND high - last_at <= gap AND coalesce(widest, INTERVAL 0 DAY) <= gap THEN 'quiet' ELSE 'not_covered' END AS reason
+             FROM n CROSS JOIN w LEFT JOIN g USING (table_id))
+       SELECT *, reason = 'quiet' AS is_quiet FROM r"""))
 def quiet(spark, sf_dir):
-    """Tables unchanged through the quiet window; the order status plays the snapshot."""
+    """Tables unchanged through the last two years, seen every 400 days; the order status plays the snapshot."""
     samples = inputs.table(spark, sf_dir, "orders").groupBy(
         F.concat(F.lit("t"), F.col("o_custkey").cast("string")).alias("table_id"),
         F.col("o_orderdate").cast("timestamp").alias("sampled_at"),
     ).agg(F.max("o_orderstatus").alias("snapshot_id")).withColumn("metadata_version", F.col("snapshot_id"))
-    return upkeep.quiet_tables(samples, 365 * 86400).select(
+    end = datetime(1998, 8, 3, tzinfo=timezone.utc)
+    return upkeep.quiet_tables(samples, end, 730 * 86400, 400 * 86400).select(
         "table_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "snapshot_id",
-        "samples", F.col("changed_at").cast("timestamp_ntz").alias("changed_at"), "is_quiet",
+        "samples", F.col("changed_at").cast("timestamp_ntz").alias("changed_at"), "reason", "is_quiet",
     )
 
 
-NOW = datetime(2001, 8, 1, tzinfo=timezone.utc)
-
-
 @query("upkeep_j6_fence", sql(
     """SELECT table_id, expected_id, observed_id, coalesce(expected_id = observed_id, FALSE) AS may_rewrite FROM (
          SELECT 't' || CAST(o_custkey AS VARCHAR) AS table_id, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS expected_id,
@@ -487,3 +493,23 @@ def heights(spark, sf_dir):
     return recent.withColumn("largest", largest).filter(F.col("newest_rank") <= 24).select(
         "pipeline_id", "seq", display.bar_height(F.col("duration_ms"), F.col("largest"), 1.0).alias("height")
     )
+
+
+@query("display_w12_cost_heights", sql(
+    """WITH r AS (SELECT l_returnflag AS account, CAST(l_shipdate AS DATE) AS day_utc,
+         CAST(sum(CAST(l_extendedprice * (CASE WHEN l_linestatus = 'O' THEN -1 ELSE 1 END) AS DECIMAL(18,2))) AS DOUBLE) AS net_cost FROM lineitem GROUP BY 1, 2),
+       n AS (SELECT *, row_number() OVER (PARTITION BY account ORDER BY day_utc DESC) AS rn FROM r)
+       SELECT account, strftime(day_utc, '%Y-%m-%d') AS day_utc,
+         greatest(8, abs(net_cost) / greatest(max(abs(net_cost)) OVER (PARTITION BY account), 0.01) * 100)::DOUBLE AS height
+       FROM n WHERE rn <= 7"""))
+def cost_heights(spark, sf_dir):
+    """Chart heights of the last seven days' costs by absolute value; credits can exceed costs."""
+    lines = inputs.table(spark, sf_dir, "lineitem")
+    sign = F.when(F.col("l_linestatus") == "O", -1).otherwise(1)
+    daily = lines.groupBy(F.col("l_returnflag").alias("account"), F.to_date("l_shipdate").alias("day_utc")).agg(
+        F.sum((F.col("l_extendedprice") * sign).cast("decimal(18,2)")).alias("net_cost"))
+    newest = Window.partitionBy("account").orderBy(F.col("day_utc").desc())
+    week = daily.withColumn("rn", F.row_number().over(newest)).where("rn <= 7")
+    largest = F.max(F.abs("net_cost")).over(Window.partitionBy("account"))
+    return week.select("account", F.col("day_utc").cast("string").alias("day_utc"),
+                       display.cost_bar_height(F.col("net_cost"), largest).alias("height"))

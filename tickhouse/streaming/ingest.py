@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -63,10 +64,10 @@ def land_frames(frames: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 class BatchWriter:
     """The ``foreachBatch`` body of an ingest query.
 
-    With ``table`` bars are appended to that catalog table instead of the bars folder. The append is
-    atomic, and the ledger notes it before Spark records the offsets: a replayed batch that the
-    ledger already has is not appended again. (A crash between append and ledger row leaves one
-    batch to be appended twice; the read views resolve its copies.)
+    With ``table`` bars are appended to that catalog table instead of the bars folder, once. The ledger
+    notes the start of a batch before the append, and that time is the ``ingested_at`` of all its bars: a
+    marker inside the table. A batch that runs again takes its first start from the ledger, and if the table
+    already has bars of that time, the (atomic) append was done and only the ledger row is missing.
 
     ``rebalance`` gathers the rows of a date before writing. A backfill wants it (else it writes a
     file per task and date); a live batch of one date does not need the exchange.
@@ -90,18 +91,24 @@ class BatchWriter:
         started = self.clock()
         failure = "loader_failed"
         counts: dict[str, int] = {}
-        if self.table and self._is_committed(frames.sparkSession, batch_id):
-            return
+        spark = frames.sparkSession
+        appended = False
+        if self.table:
+            if self._has_step(spark, batch_id, "finished"):
+                return
+            if self._has_step(spark, batch_id, "started"):
+                started = self._first_start(spark, batch_id)
+                appended = spark.table(self.table).where(F.col("ingested_at") == F.lit(started)).limit(1).count() > 0
         try:
-            self._log(frames.sparkSession, batch_id, COMMIT_STARTED, started, started, {})
+            self._log(spark, batch_id, COMMIT_STARTED, started, started, {})
             failure = "data_file_write_failed"
-            counts = self._write_bars(frames, batch_id, started)
+            counts = self._counted(frames, started) if appended else self._write_bars(frames, batch_id, started)
             failure = "offset_commit_failed"
-            self._log(frames.sparkSession, batch_id, COMMIT_SUCCEEDED, started, self.clock(), counts)
+            self._log(spark, batch_id, COMMIT_SUCCEEDED, started, self.clock(), counts)
         except Exception as error:
             if failure == "data_file_write_failed" and self.table:
                 failure = commit_failure(error)
-            self._log(frames.sparkSession, batch_id, failure, started, self.clock(), counts)
+            self._log(spark, batch_id, failure, started, self.clock(), counts)
             raise
 
     def _write_bars(self, frames: DataFrame, batch_id: int, started: datetime) -> dict[str, int]:
@@ -140,11 +147,28 @@ class BatchWriter:
             )
         return counts
 
-    def _is_committed(self, spark: SparkSession, batch_id: int) -> bool:
-        place = spark._jvm.org.apache.hadoop.fs.Path(
-            f"{self.folder(self.paths.ledger, batch_id)}/step=finished/_SUCCESS")
+    def _step(self, batch_id: int, step: str) -> str:
+        return f"{self.folder(self.paths.ledger, batch_id)}/step={step}"
+
+    def _has_step(self, spark: SparkSession, batch_id: int, step: str) -> bool:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{self._step(batch_id, step)}/_SUCCESS")
         return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
+    def _first_start(self, spark: SparkSession, batch_id: int) -> datetime:
+        micros = spark.read.parquet(self._step(batch_id, "started")).select(F.unix_micros("started_at")).first()[0]
+        return datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=micros)
+
+    def _counted(self, frames: DataFrame, started: datetime) -> dict[str, int]:
+        """The numbers of a batch that is in the table already: from its frames, and from the table."""
+        refused = F.col("reject_reason").isNotNull()
+        counts = decode(frames).agg(
+            F.coalesce(F.sum(F.when(~refused, F.size("bars"))), F.lit(0)).alias("bars"),
+            F.count_if(~refused & (F.size("bars") > 0)).alias("source_records"),
+            F.count_if(refused).alias("quarantined_frames"),
+        ).first().asDict()
+        stored = frames.sparkSession.table(self.table).where(F.col("ingested_at") == F.lit(started))
+        return {**counts, "inserted": stored.count()}
+
     def _log(self, spark: SparkSession, batch_id: int, event: str, started: datetime,
              finished: datetime, counts: dict[str, int]) -> None:
         data, offsets = FAILURE_STATUS.get(event, (None, None))
@@ -170,8 +194,8 @@ class BatchWriter:
         step = {COMMIT_STARTED: "started", COMMIT_SUCCEEDED: "finished"}.get(
             event, f"failed-{started:%Y%m%dT%H%M%S%f}"
         )
-        path = f"{self.folder(self.paths.ledger, batch_id)}/step={step}"
-        spark.range(1, numPartitions=1).select(*values).write.mode("overwrite").parquet(path)
+        spark.range(1, numPartitions=1).select(*values).write.mode("overwrite").parquet(
+            self._step(batch_id, step))
 
 
 def start_ingest(frames: DataFrame, writer: BatchWriter, available_now: bool = True,
@@ -188,8 +212,77 @@ def start_ingest(frames: DataFrame, writer: BatchWriter, available_now: bool = T
     return stream.trigger(processingTime=interval).start()
 
 
+LEDGER_KEY = ("query_id", "batch_id", "step")
+
+
+def _loose_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        rows = spark.read.option("basePath", path).schema(
+            f"{_ddl()}, query_id string, batch_id bigint, step string").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return rows
+
+
+def _ddl() -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LEDGER.fields
+                     if f.name not in ("query_id", "batch_id"))
+
+
+def _folded_ledger(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
+    """The newest finished generation of folded rows, 0 and None if there is none."""
+    try:
+        known = spark.read.option("basePath", f"{path}.folded").schema(
+            f"{_ddl()}, query_id string, batch_id bigint, step string, generation bigint").parquet(f"{path}.folded")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return 0, None
+        raise
+    newest = known.agg(F.max("generation")).first()[0]
+    if newest is None:
+        return 0, None
+    return newest, known.where(F.col("generation") == newest).drop("generation")
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
+    """All ledger rows, folded and loose. A row that is in both places counts once, by its key."""
+    loose, (_, folded) = _loose_ledger(spark, path), _folded_ledger(spark, path)
+    if folded is None:
+        if loose is None:
+            raise LookupError(f"no ledger at {path}")
+        return loose
+    if loose is None:
+        return folded
+    return folded.unionByName(loose.join(folded.select(*LEDGER_KEY), list(LEDGER_KEY), "left_anti"))
+
+
+def fold_ledger(spark: SparkSession, path: str, keep_batches: int = 100) -> int:
+    """Write the ledger's rows into one generation and remove the folders of older finished batches.
+
+    The newest ``keep_batches`` of each query stay loose, as replays look for them there. A generation
+    appears whole, and only then the loose folders it holds go: a reader finds every row before, during and
+    after. A fold that failed half-way is finished by the next one. Returns the generation's number.
+    """
+    if keep_batches < 1:
+        raise ValueError("keep at least the newest batch loose")
+    number, _ = _folded_ledger(spark, path)
+    rows = read_ledger(spark, path).select(*[f.split()[0] for f in _ddl().split(", ")], *LEDGER_KEY)
+    newest = rows.groupBy("query_id").agg(F.max("batch_id").alias("_newest"))
+    finished = rows.where(F.col("step") == "finished").select("query_id", "batch_id").distinct()
+    old = finished.join(newest, "query_id").where(F.col("batch_id") <= F.col("_newest") - keep_batches)
+    target = f"{path}.folded/generation={number + 1}"
+    rows.join(old.select("query_id", "batch_id"), ["query_id", "batch_id"], "left_semi").coalesce(1).write.mode(
+        "errorifexists").parquet(target)
+    written = spark.read.schema("query_id string, batch_id bigint").parquet(target).distinct()
+    loose = _loose_ledger(spark, path)
+    gone = [] if loose is None else loose.select("query_id", "batch_id").distinct().join(
+        written, ["query_id", "batch_id"]).toLocalIterator()
+    for row in gone:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/query_id={row['query_id']}/batch_id={row['batch_id']}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return number + 1
 
 
 def ledger_events(ledger: DataFrame) -> DataFrame:
