@@ -28,11 +28,14 @@ def read_current_metadata(spark: SparkSession, folders: dict[str, str]) -> DataF
         table: f"{folder.rstrip('/')}/v{versions[table]}.metadata.json"
         for table, folder in folders.items() if re.fullmatch(VERSION, versions.get(table, ""))
     }
-    keys = spark.createDataFrame(
-        [(t, versions[t] if t in wanted else None, _bare(wanted[t]) if t in wanted else None)
-         for t in folders],
-        "table_id string, metadata_version string, document_path string",
-    )
+    # Literals, so that the read also works inside a streaming batch, where no Python worker should start.
+    listed = F.array(*[
+        F.struct(F.lit(t).alias("table_id"),
+                 F.lit(versions[t] if t in wanted else None).alias("metadata_version"),
+                 F.lit(_bare(wanted[t]) if t in wanted else None).alias("document_path"))
+        for t in folders
+    ]).cast("array<struct<table_id:string,metadata_version:string,document_path:string>>")
+    keys = spark.range(1, numPartitions=1).select(F.inline(listed))
     documents = _texts(spark, list(wanted.values()))
     if documents is None:
         read = keys.withColumn("metadata", F.lit(None).cast("string"))
