@@ -311,6 +311,26 @@ def test_op8(spark, documents, texts):
         assert r.kept == "\n".join(x for n, x in enumerate(r.row.text.split("\n")) if n not in set(gone))
 
 
+def test_op9_stored_ledger_equals_its_sql(spark, documents, tmp_path):
+    """The counts beside the ledger are those that SQL finds by trying every rule on its own."""
+    folder = str(tmp_path / "quality")
+    rows = quality.write_ledger(documents, folder).collect()
+    assert len(rows) == documents.count()
+    con = duckdb.connect()
+    con.sql(f"CREATE TABLE l AS SELECT * FROM '{folder}/ledger/*.parquet'")
+    got = {(r.policy, r.rule): (r.kept, r.kept_without, r.only_this, r.failed)
+           for r in spark.read.parquet(f"{folder}/ablations").collect()}
+    rules = {r.name: r.failed for r in quality.RULES}
+    for policy in (quality.BASE, quality.DEFAULT, quality.STRICT):
+        for name in policy.rules:
+            others = " OR ".join(f"({rules[n]})" for n in policy.rules if n != name) or "FALSE"
+            kept, without, only, failed = (con.sql(f"SELECT count(*) FROM l WHERE {c}").fetchall()[0][0] for c in (
+                f"NOT ({others} OR ({rules[name]}))", f"NOT ({others})",
+                f"({rules[name]}) AND NOT ({others})", rules[name]))
+            assert got[policy.version, name] == (kept, without, only, failed)
+    assert len(got) == sum(len(p.rules) for p in (quality.BASE, quality.DEFAULT, quality.STRICT))
+
+
 def test_op9_ledger_and_ablations(spark, documents):
     ledger = quality.ledger(documents).cache()
     policies = (quality.BASE, quality.DEFAULT, quality.STRICT)

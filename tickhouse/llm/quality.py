@@ -203,6 +203,19 @@ def ablations(
     )
 
 
+def write_ledger(
+    docs: DataFrame, folder: str, policies: tuple[Policy, ...] = (BASE, DEFAULT, STRICT), id_col: str = "doc_id",
+    text_col: str = "text", rules: tuple[Rule, ...] = RULES,
+) -> DataFrame:
+    """Store the ledger below ``folder`` and the ablation counts of the policies beside it; returns the
+    stored ledger, from which any further policy is read without measuring again."""
+    spark = docs.sparkSession
+    ledger(docs, id_col, text_col, rules).write.parquet(f"{folder}/ledger")
+    stored_rows = spark.read.parquet(f"{folder}/ledger")
+    ablations(stored_rows, policies, rules).coalesce(1).write.parquet(f"{folder}/ablations")
+    return stored_rows
+
+
 def keep_good(
     docs: DataFrame, policy: Policy = DEFAULT, text_col: str = "text"
 ) -> DataFrame:

@@ -53,7 +53,7 @@ m AS (
 l AS (
   SELECT r, line, count(*) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r, line),
-ll AS (SELECT r, sum(n) - count(*) AS n_dup_lines FROM l GROUP BY r),
+ll AS (SELECT r, sum(n) AS n_lines, sum(n) - count(*) AS n_dup_lines FROM l GROUP BY r),
 g AS (
   SELECT r, i, array_to_string(w[i:i + 7], ' ') AS g
   FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM m WHERE len(w) >= 8)),
@@ -64,14 +64,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0)::BIGINT
        coalesce(n_repeat_words, 0) AS n_repeat_words,
        (n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words) AS base_failed,
        NOT (n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words
-            OR 10 * n_symbols > n_words) AS kept
+            OR 10 * n_symbols > n_words) AS kept,
+       ((n_words < 20)::BIGINT + 2 * (100 * coalesce(n_repeat_words, 0) > 30 * n_words)::BIGINT
+        + 4 * (10 * n_symbols > n_words)::BIGINT + 8 * (2 * coalesce(n_dup_lines, 0) > coalesce(n_lines, 0))::BIGINT
+        + 16 * (word_chars < 2 * n_words)::BIGINT + 32 * (word_chars > 20 * n_words)::BIGINT) AS fail_bits
 FROM m LEFT JOIN ll USING (r) LEFT JOIN c USING (r)
 """)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = quality.ledger(table(spark, sf_dir, "documents"))
+    measured = quality.write_ledger(table(spark, sf_dir, "documents"), shared_folder(spark, "quality"))
     return quality.apply_policy(measured).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        quality.rejects(quality.BASE).alias("base_failed"), "kept",
+        quality.rejects(quality.BASE).alias("base_failed"), "kept", "fail_bits",
     )
 
 
