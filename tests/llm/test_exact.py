@@ -407,3 +407,17 @@ def test_plans_of_native_operators_hold_no_python(spark, documents):
     for frame_ in (licenses.scan(documents), secrets.scan(documents), linededup.dedup_lines(documents)):
         plan = frame_._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+
+
+@pytest.mark.parametrize("name", ["MIT-whole", "ISC-whole", "BSD-2-Clause-whole", "GPL-header", "Unlicense-whole"])
+def test_op3_finds_whole_license_texts(spark, name):
+    """Whole and lightly edited texts inside others match; the opening sentence alone does not."""
+    text, rnd = dict(licenses.TEMPLATES)[name], random.Random(3)
+    around = " ".join(rnd.choice(word_list(3)) for _ in range(500))
+    words = text.split()
+    edited = [w if i != len(words) // 2 else "changed" for i, w in enumerate(words)]
+    data = [(1, f"{around} {text} {around}"), (2, f"{around} {' '.join(edited)}"), (3, " ".join(words[:12])), (4, around)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = {(r.doc_id, r.license_id): r.containment for r in licenses.scan(docs).collect()}
+    assert found[1, name] == 1 and 0.8 <= found[2, name] < 1 and (3, name) not in found
+    assert not any(i == 4 for i, _ in found)

@@ -9,8 +9,9 @@ So that no more than a neighbourhood is looked at, nodes meet in buckets that ag
 16-bit blocks: two fingerprints within two bits always share one. Inside a bucket, nodes are sorted
 by the first coordinate and paired only within ``radius`` of it. A bucket of more than ``BUCKET``
 nodes is split by agreement on a further third of the remaining bits, and again, which any two
-linked nodes also satisfy for one of the three thirds; after the second split a bucket has at most
-2 ** 11 nodes. What a bucket returns is a spanning forest of its links, not its pairs.
+linked nodes also satisfy for one of the three thirds; after the second split the prints of a
+bucket differ in 14 to 16 bits at most, so it has at most 2 ** 16 nodes. What a bucket returns is a
+spanning forest of its links, not its pairs.
 
 Null and empty texts have fingerprint zero and link like any other. Repeated rows are copies. A null
 id never becomes a component id unless all ids of the component are null. Further columns are
