@@ -63,7 +63,7 @@ def test_sql(spark, tmp_path, name):
                for i, (_, t) in enumerate(licenses.TEMPLATES)]
     docs.union(frame(spark, notices)).write.parquet(str(tmp_path / "documents.parquet"))
     db = duckdb.connect()
-    for table in ("pages", "benchmark"):
+    for table in ("pages", "benchmark", "embeddings"):
         (tmp_path / f"{table}.parquet").symlink_to(f"{SF}/{table}.parquet")
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
