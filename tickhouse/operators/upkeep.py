@@ -93,7 +93,10 @@ def expiry_plan(
     )
     boundary = F.lit(aware(now) - timedelta(days=days))
     old = snapshots.filter(F.col("committed_at") < boundary)
-    plan = old.join(kept, "table_id").filter(position < F.col("_oldest_kept")).drop("_oldest_kept")
+    # Snapshots without a table name are one table, as in a window.
+    named = kept.withColumnRenamed("table_id", "_table")
+    plan = old.join(named, F.col("table_id").eqNullSafe(F.col("_table"))).filter(
+        position < F.col("_oldest_kept")).drop("_oldest_kept", "_table")
     if protected is not None:
         plan = plan.join(protected, ["table_id", "snapshot_id"], "left_anti")
     return plan
