@@ -174,7 +174,7 @@ def test_counters_are_whole_numbers(spark, text, number):
 
 
 @pytest.mark.parametrize("nulls", ["", "orders", "lineitem"])
-@pytest.mark.parametrize("name", ["upkeep_m8_expiry"])
+@pytest.mark.parametrize("name", ["upkeep_m8_expiry", "upkeep_m9_orphans"])
 def test_cleanup_plans_against_their_sql(spark, tmp_path, name, nulls):
     """The smallest tables, and again with keys that are null."""
     source, db = "/root/testdata/sf0.001", duckdb.connect()

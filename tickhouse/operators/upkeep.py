@@ -105,10 +105,15 @@ def expiry_plan(
 def orphan_plan(
     listing: DataFrame, referenced: DataFrame, now: datetime, min_age: timedelta = timedelta(days=3)
 ) -> DataFrame:
-    """Unreferenced files old enough to remove (dry run); never younger than a day."""
+    """Unreferenced files old enough to remove (dry run); never younger than a day.
+
+    A reference without a path may mean any file, so then nothing may go; a file without a path never may.
+    """
     if min_age < timedelta(hours=24):
         raise ValueError("orphan age must be at least 24 hours")
-    old = listing.filter(F.col("modified_at") < F.lit(aware(now) - min_age))
+    old = listing.filter((F.col("modified_at") < F.lit(aware(now) - min_age)) & F.col("file_path").isNotNull())
+    if referenced.filter(F.col("file_path").isNull()).limit(1).count():
+        return old.limit(0)
     return old.join(referenced.select("file_path"), "file_path", "left_anti")
 
 
