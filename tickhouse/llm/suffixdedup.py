@@ -11,12 +11,15 @@ Suffix order is only needed among strings that can be equal, so the work is cut
 2. Segments are grouped by anchor. An anchor that occurs once has no repeats. Equal segments are
    counted, not compared; where an anchor has one distinct segment, occurring twice or more, there
    is nothing else that its windows could match.
-3. The distinct segments of the other anchors are gathered in blocks of whole anchors, at most about
+3. A window reaches at least half of ``least - GRAM`` bytes to one side of its anchor. A segment that
+   agrees with no other distinct one of its anchor on that many bytes on either side shares no window
+   with them and is not compared (``rivals``).
+4. The distinct segments that are left are gathered in blocks of whole anchors, at most about
    ``BLOCK`` bytes. Each block gets its Burrows-Wheeler transform, and breadth-first backward
    extension finds which neighbours in suffix order share ``least`` bytes (``bwt.repeated``).
-4. An anchor whose distinct segments exceed a block (a short string with very many contexts) has its
+5. An anchor whose distinct segments exceed a block (a short string with very many contexts) has its
    windows counted by digest instead: the exact way for the rest, spread over all tasks.
-5. Marked windows go back to every place their segment occurs; each document unites them and drops
+6. Marked windows go back to every place their segment occurs; each document unites them and drops
    the bytes they cover. Texts travel compressed.
 
 Equal segments of one batch are one row with a list of places, so copies are combined before the
@@ -37,12 +40,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickhouse.llm.bwt import repeated
-from tickhouse.llm.common import identified, prepare, saved, stored
+from tickhouse.llm.common import identified, prepare, stored
 
 LEAST = 200
 GRAM = 32
 BLOCK = 1 << 20
 CHUNK = 1 << 20
+#: Windows whose anchors are found at once.
+TILE = 1 << 15
 PLACE = np.dtype([("file", "<i8"), ("at", "<i8"), ("start", "<i8")])
 _POSITION = np.uint64((1 << 24) - 1)
 
@@ -54,30 +59,60 @@ def _mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def anchors(data: np.ndarray, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of a chunk: the hash of its anchor and the anchor's position."""
+def _grams(data: np.ndarray, gram: int) -> np.ndarray:
+    """The hash of the ``gram`` bytes at each position."""
     with np.errstate(over="ignore"):
         hashed = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         width, factor = 1, 0x9E3779B97F4A7C15
         while width < gram:
             hashed = hashed[:-width] * np.uint64(factor) + hashed[width:]
             width, factor = 2 * width, factor * factor % 2**64
-        hashed = _mix(hashed)
-    smallest = (hashed & ~_POSITION) | np.arange(len(hashed), dtype=np.uint64)
-    span, width = least - gram + 1, 1
-    while 2 * width <= span:
-        smallest = np.minimum(smallest[:-width], smallest[width:])
-        width *= 2
-    if width < span:
-        smallest = np.minimum(smallest[:width - span], smallest[span - width:])
-    place = (smallest & _POSITION).astype(np.int64)
+        return _mix(hashed)
+
+
+def anchors(data: np.ndarray, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of a chunk: the hash of its anchor and the anchor's position."""
+    hashed, place = _anchors(data, least, gram)
     return hashed[place], place
 
 
+def _anchors(data: np.ndarray, least: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each gram and the position of each window's anchor; in tiles that stay in the cache."""
+    hashed = np.empty(len(data) - gram + 1, np.uint64)
+    place = np.empty(len(data) - least + 1, np.int64)
+    for begin in range(0, len(place), TILE):
+        end = min(begin + TILE, len(place))
+        part = hashed[begin:end + least - gram] = _grams(data[begin:end + least - 1], gram)
+        smallest = (part & ~_POSITION) | np.arange(len(part), dtype=np.uint64)
+        span, width = least - gram + 1, 1
+        while 2 * width <= span:
+            smallest = np.minimum(smallest[:-width], smallest[width:])
+            width *= 2
+        if width < span:
+            smallest = np.minimum(smallest[:width - span], smallest[span - width:])
+        place[begin:end] = (smallest & _POSITION).astype(np.int64) + begin
+    return hashed, place
+
+
+def _side(hashed: np.ndarray, begin: np.ndarray, reach: int, gram: int, there: np.ndarray) -> pa.Array:
+    """A hash of the ``reach`` bytes from ``begin``, null where they are not all ``there``. Two that
+    collide only cost a comparison. A reach shorter than a gram tells nothing: all are alike."""
+    out = np.zeros(len(begin), np.uint64)
+    at = begin[there]
+    found = np.zeros(len(at), np.uint64)
+    if reach >= gram:
+        with np.errstate(over="ignore"):
+            for offset in [*range(0, reach - gram, gram), reach - gram]:
+                found = _mix(found * np.uint64(0x9E3779B97F4A7C15) + hashed[at + offset])
+    out[there] = found
+    return pa.array((out >> np.uint64(32)).astype(np.uint32).view(np.int32), mask=~there)
+
+
 def _segments(data: np.ndarray, ends: np.ndarray, least: int, gram: int):
-    """Anchor, document, start and number of windows of each segment of some concatenated texts."""
-    hashed, place = anchors(data, least, gram)
-    doc = np.searchsorted(ends, np.arange(len(place)), side="right")
+    """Anchor, document, start and number of windows of each segment of some concatenated texts, and
+    the hashes of what is on the left and the right of its anchor."""
+    hashed, place = _anchors(data, least, gram)
+    doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[:len(place)]
     inside = np.flatnonzero(np.arange(len(place)) + least <= ends[doc])
     if not len(inside):
         return None
@@ -86,7 +121,10 @@ def _segments(data: np.ndarray, ends: np.ndarray, least: int, gram: int):
                           | (doc[1:] != doc[:-1])])
     first = np.flatnonzero(new)
     count = np.diff(np.concatenate([first, [len(inside)]]))
-    return hashed[inside[first]].view(np.int64), doc[first], inside[first], count
+    start, middle, reach = inside[first], place[first], (least - gram + 1) // 2
+    left = _side(hashed, middle - reach, reach, gram, middle - reach >= start)
+    right = _side(hashed, middle + gram, reach, gram, middle + gram + reach <= start + count + least - 1)
+    return hashed[middle].view(np.int64), doc[first], start, count, left, right
 
 
 def _chunks(texts: list[bytes], least: int) -> Iterator[tuple[list[tuple[int, int]], bytes, np.ndarray]]:
@@ -117,7 +155,7 @@ def segments(rows: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFrame
 
     ``rows`` has ``file``, ``at`` and ``text`` (binary).
     """
-    names = ["anchor", "digest", "windows", "file", "at", "start", "n", "more"]
+    names = ["anchor", "digest", "windows", "left", "right", "file", "at", "start", "n", "more"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,7 +165,7 @@ def segments(rows: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFrame
                 found = _segments(np.frombuffer(data, np.uint8), ends, least, gram)
                 if found is None:
                     continue
-                anchor, part, position, count = found
+                anchor, part, position, count, left, right = found
                 row = np.array([k for k, _ in parts])[part]
                 begin = np.concatenate([[0], ends[:-1]])
                 start = position - begin[part] + np.array([o for _, o in parts])[part]
@@ -147,11 +185,11 @@ def segments(rows: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFrame
                         for f, c in zip(first.tolist(), n.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor[one]), pa.array(digest[one]), pa.array(count[one].astype(np.int32)),
-                     pa.array(files[row[one]]), pa.array(ats[row[one]]), pa.array(start[one]),
+                     left.take(pa.array(one)), right.take(pa.array(one)), pa.array(files[row[one]]), pa.array(ats[row[one]]), pa.array(start[one]),
                      pa.array(n), pa.array(more, pa.binary())], names=names)
 
-    return rows.mapInArrow(run, "anchor long, digest long, windows int, file long, at long, "
-                                "start long, n long, more binary")
+    return rows.mapInArrow(run, "anchor long, digest long, windows int, left int, right int, file long, "
+                                "at long, start long, n long, more binary")
 
 
 def shared_segments(rows: DataFrame) -> DataFrame:
@@ -168,6 +206,18 @@ def shared_segments(rows: DataFrame) -> DataFrame:
     return numbered.where("places > 1").drop("places")
 
 
+def rivals(chosen: DataFrame) -> DataFrame:
+    """The distinct segments that agree with another one of their anchor on the left or the right of
+    it; ``distinct`` then counts these."""
+    def others(side: str):
+        return F.count(side).over(Window.partitionBy("anchor", side)) > 1
+
+    alike = chosen.repartition("anchor").select("*", others("left").alias("by_left")).select(
+        "*", others("right").alias("by_right")).where("by_left OR by_right")
+    return alike.drop("left", "right", "by_left", "by_right", "distinct").select(
+        "*", F.count(F.lit(1)).over(Window.partitionBy("anchor")).alias("distinct"))
+
+
 def _cut_out(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """The bytes of chosen segments, fetched from the documents they lie in."""
     by_doc = wanted.groupBy("file", "at").agg(F.collect_list(
@@ -199,15 +249,16 @@ def _packed_bits(marks: np.ndarray) -> bytes:
 
 
 def _compared(cut: DataFrame, least: int, block: int) -> DataFrame:
-    """``marks``: which windows of each distinct segment occur again, as packed bits."""
+    """``marks``: which windows of each segment without copies occur again, as packed bits."""
 
     def solve(rows: list[dict]) -> pa.RecordBatch:
-        found = repeated([r["bytes"] for r in rows], least)
-        marks = [_packed_bits((m[:r["windows"]]) | (r["copies"] > 1))
-                 for m, r in zip(found, rows, strict=True)]
+        found = [(r, m[:r["windows"]]) for r, m in zip(
+            rows, repeated([r["bytes"] for r in rows], least), strict=True) if r["copies"] == 1]
+        found = [(r, m) for r, m in found if m.any()]
         return pa.RecordBatch.from_arrays(
-            [pa.array([r["anchor"] for r in rows], pa.int64()),
-             pa.array([r["digest"] for r in rows], pa.int64()), pa.array(marks, pa.binary())],
+            [pa.array([r["anchor"] for r, _ in found], pa.int64()),
+             pa.array([r["digest"] for r, _ in found], pa.int64()),
+             pa.array([_packed_bits(m) for _, m in found], pa.binary())],
             names=["anchor", "digest", "marks"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,10 +293,11 @@ def _counted(cut: DataFrame, least: int) -> DataFrame:
                      pa.array(keys, pa.binary())],
                     names=["anchor", "digest", "copies", "i", "key"])
 
-    windows = saved(cut.mapInArrow(
-        digests, "anchor long, digest long, copies long, i int, key binary"))
-    again = saved(windows.groupBy("anchor", "key").agg(F.sum("copies").alias("times"))
-                  .where("times > 1").select("anchor", "key"))
+    # Dealt by segment, so that the windows of one phrase come from all tasks alike.
+    windows = cut.repartition("digest").mapInArrow(
+        digests, "anchor long, digest long, copies long, i int, key binary")
+    again = windows.select("anchor", "digest", "copies", "i", F.sum("copies").over(
+        Window.partitionBy("anchor", "key")).alias("times")).where("times > 1 AND copies = 1")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,8 +310,7 @@ def _counted(cut: DataFrame, least: int) -> DataFrame:
                 [batch.column("anchor"), batch.column("digest"), pa.array(marks, pa.binary())],
                 names=["anchor", "digest", "marks"])
 
-    by_segment = windows.join(again, ["anchor", "key"]).groupBy("anchor", "digest").agg(
-        F.collect_list("i").alias("places"))
+    by_segment = again.groupBy("anchor", "digest").agg(F.collect_list("i").alias("places"))
     return by_segment.mapInArrow(pack, "anchor long, digest long, marks binary")
 
 
@@ -271,8 +322,8 @@ def repeats(
     ``docs`` has ``file``, ``at``, ``text`` (binary) and is read three times.
     """
     shared = stored(shared_segments(segments(docs.select("file", "at", "text"), least, gram)), "segments")
-    wanted = shared.where("chosen AND distinct > 1").select(
-        "file", "at", "anchor", "digest", "windows", "start", "copies", "distinct")
+    wanted = rivals(shared.where("chosen AND distinct > 1").select(
+        "file", "at", "anchor", "digest", "windows", "left", "right", "start", "copies", "distinct"))
     cut = stored(_cut_out(packed_texts(docs), wanted, least), "bytes")
     most = block // (2 * least)
     marks = stored(_compared(cut.where(F.col("distinct") <= most), least, block), "marks")
@@ -280,8 +331,9 @@ def repeats(
     if crowded.limit(1).count():
         marks = marks.union(_counted(crowded, least))
     places = shared.select("anchor", "digest", "windows", "copies", "distinct", "file", "at", "start", "more")
-    alone = places.where("distinct = 1").withColumn("marks", F.lit(None).cast("binary"))
-    compared = places.where("distinct > 1").join(marks, ["anchor", "digest"]).select(*alone.columns)
+    # All windows of a segment that occurs twice are repeats, whatever else its anchor has.
+    copied = places.where("copies > 1").withColumn("marks", F.lit(None).cast("binary"))
+    compared = places.where("copies = 1").join(marks, ["anchor", "digest"]).select(*copied.columns)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each place of each segment that has marked windows."""
@@ -290,8 +342,6 @@ def repeats(
             names = ("windows", "file", "at", "start", "more", "marks")
             for n, file, at, start, more, bits in zip(
                     *(batch.column(c).to_pylist() for c in names), strict=True):
-                if bits is not None and not any(bits):
-                    continue
                 rows.append((file, at, start, n, bits))
                 if more:
                     rows += [(*p, n, bits) for p in np.frombuffer(more, PLACE).tolist()]
@@ -301,7 +351,7 @@ def repeats(
                     [pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)],
                     names=["file", "at", "start", "windows", "marks"])
 
-    found = alone.union(compared).mapInArrow(
+    found = copied.union(compared).mapInArrow(
         spread, "file long, at long, start long, windows int, marks binary")
     return found.groupBy("file", "at").agg(
         F.collect_list(F.struct("start", "windows", "marks")).alias("found"))
