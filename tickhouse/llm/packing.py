@@ -24,12 +24,13 @@ import base64
 import heapq
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from fractions import Fraction
 from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ SEQUENCE = 1024
 WINDOW = 64
 END_ID = 0
 MAX_QUEUES = 65_536
+#: Bytes of text or ids that a task works on at once.
+SLICE = 1 << 20
 #: Offsets per task and queue that may be broadcast; beyond it the ids are shuffled to them.
 BROADCAST_OFFSETS = 200_000
 
@@ -50,19 +53,30 @@ class ByteBpe:
     """A public byte-level BPE vocabulary.
 
     ``ranks`` holds the vocabulary of ``vocabulary`` as ranks: the same ids several times faster.
-    Texts that contain the string of a special token are left to the vocabulary file.
+    Texts that contain the string of a special token are left to the vocabulary file. ``special`` has
+    these strings and ``size`` the number of ids, so that a task without such a text never holds it.
     """
 
     vocabulary: str
     ranks: str
     pattern: str
+    special: tuple[str, ...]
+    size: int
+
+    @classmethod
+    def of(cls, vocabulary: str, ranks: str, pattern: str) -> ByteBpe:
+        from tokenizers import Tokenizer
+
+        whole = Tokenizer.from_file(vocabulary)
+        return cls(vocabulary, ranks, pattern,
+                   tuple(t.content for t in whole.get_added_tokens_decoder().values()), whole.get_vocab_size())
 
     @classmethod
     def public(cls) -> ByteBpe:
         import public_tokenizers
 
-        return cls(public_tokenizers.path("byte_bpe_50k.json"),
-                   public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+        return cls.of(public_tokenizers.path("byte_bpe_50k.json"),
+                      public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
     @cached_property
     def _whole(self):
@@ -70,10 +84,6 @@ class ByteBpe:
 
         return Tokenizer.from_file(self.vocabulary)
 
-    @cached_property
-    def _special(self) -> list[str]:
-        return [t.content for t in self._whole.get_added_tokens_decoder().values()]
-
     @cached_property
     def _fast(self):
         import tiktoken
@@ -84,18 +94,25 @@ class ByteBpe:
             "ranks", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
-        if any(token in text for token in self._special):
+        if any(token in text for token in self.special):
             return np.array(self._whole.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(self._fast.encode_ordinary(text), np.uint32)
 
-    @property
-    def size(self) -> int:
-        return self._whole.get_vocab_size()
-
 
 @lru_cache(maxsize=4)
 def _encoder(model: ByteBpe) -> ByteBpe:
-    return ByteBpe(model.vocabulary, model.ranks, model.pattern)
+    return replace(model)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``SLICE`` bytes of a column: what a task makes of a batch is held
+    several times over, in Python, in Arrow and on its way to Spark."""
+    for batch in batches:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        parts = np.cumsum(sizes, dtype=np.int64) // SLICE
+        first = np.flatnonzero(np.diff(parts, prepend=-1))
+        for begin, end in zip(first.tolist(), [*first[1:].tolist(), len(sizes)][:len(first)], strict=True):
+            yield batch.slice(begin, end - begin)
 
 
 class Mixture:
@@ -191,7 +208,7 @@ def _tokenize(rows: DataFrame, model: ByteBpe, folder: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, chunk, counts = _encoder(model), TaskContext.get().partitionId(), {}
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             queues = batch.column("queue").to_pylist()
             ids, sizes, before = [], [], []
             for queue, text in zip(queues, texts_of(batch), strict=True):
@@ -255,7 +272,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixture = Mixture(totals, shares, sequence, window)
         starts = lru_cache(maxsize=4096)(mixture.starts)
-        for batch in batches:
+        for batch in sliced(batches, "ids"):
             columns = {n: [] for n in ("row", *names[1:])}
             pieces = []
             for k, (queue, before, offset, size, ids) in enumerate(zip(
