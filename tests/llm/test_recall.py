@@ -7,7 +7,8 @@ import random
 import corpus_pipeline
 from cases import SF, word_list
 from test_exact import components, edit_distance
-from tickhouse.llm import linededup
+from tickhouse.llm import linededup, simhash
+from tickhouse.llm.common import saved
 
 
 def removed(spark, pairs: list[tuple[str, str]]) -> list[bool]:
@@ -63,3 +64,35 @@ def test_near_duplicates_stage_finds_jaccard(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
     assert kept == set(groups)
+
+
+def test_op6_links_of_nodes_in_many_partitions(spark):
+    """The nodes of a bucket come from several tasks. Joins by bucket are broadcast, and what was dealt by
+    bucket for them is read in as many tasks as it was written by, as in larger tables."""
+    rnd = random.Random(6)
+    prints = []
+    for _ in range(300):
+        value = rnd.getrandbits(64)
+        prints += [value, value ^ 1 << rnd.randrange(64), value ^ 1 << rnd.randrange(32) ^ 1 << 32 + rnd.randrange(32)]
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    nodes = saved(spark.createDataFrame([(p,) for p in signed], "fp long").repartition(8))
+    smallest = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(smallest, "1b")
+    try:
+        found = components_of(simhash.links(simhash.pivot_table(nodes)).collect())
+    finally:
+        spark.conf.unset(smallest)
+    groups = components(len(prints), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 2)
+    assert {p: found.get(p, p) for p in signed} == {
+        p: min(q for q, h in zip(signed, groups, strict=True) if h == g) for p, g in zip(signed, groups, strict=True)}
+
+
+def components_of(edges: list) -> dict[int, int]:
+    least = {n: n for e in edges for n in e}
+    for _ in least:
+        before = dict(least)
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+        if least == before:
+            break
+    return least

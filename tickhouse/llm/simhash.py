@@ -159,7 +159,11 @@ def _forest(label: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> tu
 
 
 def _compare(buckets: DataFrame, radius: int) -> DataFrame:
-    """Links within buckets: rows arrive sorted by bucket, and whole buckets are compared."""
+    """Links within stored buckets: rows arrive sorted by bucket, and whole buckets are compared.
+
+    They are stored because the exchange of a join by bucket would stand for the one asked for here, and
+    adaptive execution may read that one by its writers, which takes buckets apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(fp, table, group):
@@ -208,13 +212,13 @@ def links(nodes: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataF
         if current is not None:
             split = split.distinct()
         sizes = saved(split.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-        members = split.join(sizes, ["mask", "value"])
+        members = saved(split.join(sizes, ["mask", "value"]))
         last = level is _LEVELS[-1]
         found = _compare(members if last else members.where(F.col("n") <= bucket), radius)
         edges = found if edges is None else edges.union(found)
         if last or not sizes.where(F.col("n") > bucket).limit(1).count():
             break
-        current = saved(members.where(F.col("n") > bucket).select("fp", "pivots", "mask"))
+        current = members.where(F.col("n") > bucket).select("fp", "pivots", "mask")
     return edges
 
 
